@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, packing, token_store
+from strandloom.llm import byte_bpe, packing, quality_rules, token_store
 from strandloom.llm._common import scratch, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,6 +18,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality_rules.apply(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-store")
     token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=2)
@@ -30,8 +35,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_quality_rules": op4_quality_rules,
     "op7_token_store": op7_token_store,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": quality_rules.oracle_sql(),
+}
