@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, packing, quality_rules, token_store
+from strandloom.llm import byte_bpe, near_dedup, packing, quality_rules, token_store
 from strandloom.llm._common import scratch, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -23,6 +23,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-store")
     token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=2)
@@ -36,6 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op7_token_store": op7_token_store,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
