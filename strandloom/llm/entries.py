@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, near_dedup, packing, quality_rules, token_store
-from strandloom.llm._common import scratch, table
+from strandloom.llm import byte_bpe, language_id, near_dedup, packing, quality_rules, token_store
+from strandloom.llm._common import crc_remainder, scratch, table
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -18,6 +18,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(language_id.train_split(docs))
+    rows = docs.select("doc_id", "text", (crc_remainder("doc_id") == 2).alias("held_out"))
+    return language_id.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality_rules.apply(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
@@ -39,6 +46,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_token_store": op7_token_store,
