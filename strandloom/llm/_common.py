@@ -36,7 +36,7 @@ def scratch(spark: SparkSession, what: str) -> str:
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there."""
     path = scratch(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

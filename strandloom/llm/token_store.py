@@ -120,9 +120,9 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, key: str =
     spark = df.sparkSession
     staged = c.materialise(chunked(df, tokenizer_path, end_id, key, text), "token-stage")
     pieces = staged.select(F.explode("pieces").alias("p")).select("p.*")
-    pieces.groupBy("chunk").agg(F.max("ids").alias("ids"), F.max("width").alias("width"), F.max("n_ids").alias("n_ids")).write.parquet(
-        f"{path}/chunks"
-    )
+    pieces.groupBy("chunk").agg(F.max("ids").alias("ids"), F.max("width").alias("width"), F.max("n_ids").alias("n_ids")).write.option(
+        "compression", "zstd"
+    ).parquet(f"{path}/chunks")
     thin = staged.select("doc_id", "n_tokens", "root", F.col("pieces.chunk").alias("chunks"))
     parts = c.ordered_parts(thin, "doc_id", "token-parts")
     recipes = c.running_start(parts, "doc_id", "n_tokens", ["root"], "start")
