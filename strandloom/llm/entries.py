@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, language_id, near_dedup, packing, quality_rules, token_store, url_filter
+from strandloom.llm import byte_bpe, html_extract, language_id, near_dedup, packing, quality_rules, token_store, url_filter
 from strandloom.llm._common import crc_remainder, scratch, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-store")
     token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=2)
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_html_text": op6_html_text,
     "op7_token_store": op7_token_store,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
