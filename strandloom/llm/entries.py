@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, html_extract, language_id, near_dedup, packing, quality_rules, token_store, url_filter
+from strandloom.llm import byte_bpe, fingerprints, html_extract, language_id, near_dedup, packing, quality_rules, token_store, url_filter
 from strandloom.llm._common import crc_remainder, scratch, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -60,6 +60,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=0, capacity=2048)
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_byte_bpe": op2_byte_bpe,
@@ -69,6 +73,7 @@ QUERIES = {
     "op6_html_text": op6_html_text,
     "op7_token_store": op7_token_store,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLE_SQL: dict[str, str] = {
