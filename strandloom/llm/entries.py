@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, fingerprints, html_extract, language_id, near_dedup, packing, quality_rules, token_store, url_filter
+from strandloom.llm import byte_bpe, fingerprints, html_extract, language_id, near_dedup, packing, pii, quality_rules, token_store, url_filter
 from strandloom.llm._common import crc_remainder, scratch, table
 
+#: The key of the registered queries' surrogates; a user passes an own, secret one.
+PII_SECRET = "registered-query-key"
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
@@ -56,6 +58,10 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path)
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"), PII_SECRET).select("doc_id", "text", "n_entities")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=0, capacity=2048)
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_html_text": op6_html_text,
     "op7_token_store": op7_token_store,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_spotsigs": op10_spotsigs,
 }
