@@ -23,8 +23,12 @@ class Guided:
         self.reads = reads
         self.sites = locate_sites(reads, c.motif, c.cut_offset)
         self.blocks = merge_blocks(split_alignments(alignments, c.max_gap), c.max_gap)
-        self.sites_final = protect(self.sites, self.blocks, c.flank, c.min_cov, bin_size)
-        self.cuts = guided_cuts(reads, self.sites_final, c.dup_motif, c.min_mono_len)
+        self.use_sites(protect(self.sites, self.blocks, c.flank, c.min_cov, bin_size))
+
+    def use_sites(self, sites_final: DataFrame) -> None:
+        """Cut at these sites, for instance at a kept stage's."""
+        self.sites_final = sites_final
+        self.cuts = guided_cuts(self.reads, sites_final, self.config.dup_motif, self.config.min_mono_len)
 
     @property
     def monomers(self) -> DataFrame:

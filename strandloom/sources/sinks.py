@@ -29,11 +29,13 @@ def pair_records(pairs: DataFrame) -> DataFrame:
 def write_pairs(pairs: DataFrame, path: str, compression: str = "gzip") -> None:
     """``path``/side=1 and side=2: part files of FASTQ records that are in step, file by file.
 
-    One job writes both sides: a task writes a side's records of its rows to that side's file in
-    the order of the rows. No pairs give an empty folder. Spark's commit makes files appear when whole.
+    One job writes both sides: a task writes a side's records of its rows to that side's file, both
+    sorted by read and ranks. No pairs give an empty folder. Spark's commit makes files appear when whole.
     """
     sides = F.explode(F.array(*[F.struct(F.lit(k).alias("side"), _side(k).alias("value")) for k in (1, 2)]))
-    pairs.select(sides.alias("r")).select("r.side", "r.value").write.mode("overwrite").partitionBy("side").text(path, compression=compression)
+    records = pairs.select("read_idx", "i", "j", sides.alias("r")).select("r.side", "read_idx", "i", "j", "r.value")
+    ordered = records.sortWithinPartitions("side", "read_idx", "i", "j").select("side", "value")
+    ordered.write.mode("overwrite").partitionBy("side").text(path, compression=compression)
 
 
 def write_monomers(monomers: DataFrame, path: str, compression: str = "gzip") -> None:
