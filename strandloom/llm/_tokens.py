@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 #: Texts of these characters only: each stays as it is under NFC, is lower-cased alone, and of them
 #: just the six ASCII ones are white space. Then a word between them has the same ids in any text.
-PLAIN = regex.compile(r"[\t-\r\x20-\x7e\xa1-įı-ſ]*")
+NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa1-įı-ſ]")
 #: Words and pieces kept at most, for each worker process; later ones are worked out each time.
 KEPT = 1_000_000
 
@@ -29,6 +31,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.model, self.byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.pattern = self._pattern(spec)
@@ -52,8 +55,9 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         out = self.pieces.get(piece)
         if out is None:
-            model, byte_level = self.tokenizer.model, self.tokenizer.pre_tokenizer
-            ids = [t.id for part, _ in byte_level.pre_tokenize_str(piece) for t in model.tokenize(part)]
+            # the printable ASCII characters stand for their own bytes
+            part = piece if piece.isascii() else self.byte_level.pre_tokenize_str(piece)[0][0]
+            ids = [t.id for t in self.model.tokenize(part)]
             out = np.array(ids, dtype="<u4").tobytes()
             if len(self.pieces) < KEPT:
                 self.pieces[piece] = out
@@ -67,7 +71,7 @@ class WordEncoder:
 
     def __call__(self, text: str | None) -> bytes:
         text = text or ""
-        if self.pattern is None or not PLAIN.fullmatch(text):
+        if self.pattern is None or NOT_PLAIN.search(text):
             return self._whole(text)
         low = text.lower()
         if any(m in low for m in self.marks):
