@@ -1,0 +1,398 @@
+"""Near-duplicates, token store, personal data, packing, fingerprints and the pipeline."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from strandloom.llm import _common, entries, fingerprints, near_dedup, packing, pii, token_store
+from strandloom.llm._tokens import WordEncoder
+
+SF = "/root/testdata/sf0.001"
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+EDGE = [None, "", "   ", "one", "one two", "One TWO", "a b c d", "a b c d", "x " * 9000, "naïve café ﬁ \x1c y"]
+
+
+def docs(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+
+# --- near-duplicates ---
+
+
+def components(texts, words, percent):
+    sets, up = {}, {}
+    for i, t in texts.items():
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set()
+        up[i] = i
+
+    def find(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    holders = defaultdict(list)
+    for i in sorted(sets):
+        shared = Counter(j for s in sets[i] for j in holders[s])
+        for s in sets[i]:
+            holders[s].append(i)
+        for j, c in shared.items():
+            if 100 * c >= percent * (len(sets[i]) + len(sets[j]) - c):
+                a, b = find(i), find(j)
+                up[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def test_dedup_edges_and_families(spark):
+    rng = random.Random(7)
+    texts = list(EDGE)
+    for _ in range(6):
+        own = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(20, 120))]
+        for _ in range(14):
+            t = list(own)
+            for _ in range(rng.randint(0, 6)):
+                t[rng.randrange(len(t))] = f"e{rng.randint(0, 50)}"
+            texts.append(" ".join(t))
+    df = docs(spark, *texts).withColumns({"node": F.lit(1), "component_id": F.lit("x")})
+    got = {r["doc_id"]: r for r in near_dedup.link(df, words=3, percent=85).collect()}
+    want = components(dict(enumerate(texts)), 3, 85)
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+    assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
+
+
+def test_dedup_nulls_and_empty_tables(spark):
+    rows = [(None, "a b c d"), (3, "a b c d"), (2, "a b c d"), (2, "a b c d"), (None, None)]
+    got = near_dedup.link(spark.createDataFrame(rows, "doc_id bigint, text string"), words=3, percent=85)
+    assert sorted(map(str, got.select("doc_id", "component_id", "kept").collect())) == sorted(
+        ["Row(doc_id=None, component_id=None, kept=True)"] * 2 + ["Row(doc_id=2, component_id=2, kept=True)"] * 2 + ["Row(doc_id=3, component_id=2, kept=False)"]
+    )
+    assert near_dedup.link(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_dedup_query(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in entries.op5_minhash_dedup(spark, SF).collect()}
+    assert got == components(texts, 3, 85)
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (95, 100), (7, 7)], "a bigint, b bigint")
+    got = dict(_common.components(edges).collect())
+    assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
+
+
+# --- token ids ---
+
+
+def library_ids(text):
+    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids
+
+
+def test_word_encoder_is_the_library():
+    odd = ["don't I'LL we've", "İstanbul ΣΑΣ", "a\x1cb\x85c\xa0d", "<|endoftext|> x <|EndOfText|>", "é é ﬁ", "½²³ 12345", "_a_b__ 's's", "\x7f", *[t or "" for t in EDGE]]
+    enc = WordEncoder(WORDS)
+    for t in odd * 2:
+        assert enc(t) == np.array(library_ids(t), "<u4").tobytes(), t
+
+
+def test_cut_points():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 63, 64, 65, 500, 9000):
+        ids = rng.integers(0, 49_000, n)
+        ends = token_store.cut_points(ids)
+        sizes = np.diff([0, *ends])
+        assert (ends[-1] if ends else 0) == n and all(sizes > 0) and all(sizes <= token_store.MOST)
+        assert all(sizes[:-1] >= min(token_store.LEAST, n))
+    assert max(np.diff([0, *token_store.cut_points(np.zeros(20_000, int))])) <= token_store.MOST
+    a = rng.integers(0, 49_000, 8000)
+    b = np.concatenate([a[:100], [5, 6, 7], a[100:]])
+    ends_a, ends_b = token_store.cut_points(a), token_store.cut_points(b)
+    assert len({x for x in ends_a} & {x - 3 for x in ends_b}) > len(ends_a) * 0.7
+
+
+def test_token_store(spark, tmp_path):
+    texts = [*EDGE, "same text for a while " * 200, "same text for a while " * 200]
+    rows = [(None, "null key"), *enumerate(texts), (3, "one")]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("part", F.lit(1))
+    path = f"file://{tmp_path}/store"
+    token_store.write(df, path, WORDS, end_id=2)
+    got = sorted(token_store.read(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in rows), key=lambda x: -1 if x is None else x)
+    text_of = {None: "null key", **dict(enumerate(texts))}
+    at = 0
+    for r in got:
+        ids = np.array([*library_ids(text_of[r["doc_id"]]), 2], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert {r["doc_id"]: r["ids"] for r in token_store.read_ids(spark, path).collect()} == {i: [*library_ids(t), 2] for i, t in text_of.items()}
+    chunks = spark.read.parquet(f"{path}/chunks")
+    assert chunks.count() == chunks.select("chunk").distinct().count()
+    assert token_store.verify_manifest(spark, path).count() == 0
+    bad = chunks.withColumn("ids", F.when(F.col("n_ids") == chunks.agg(F.max("n_ids")).first()[0], F.reverse(F.col("ids"))).otherwise(F.col("ids")))
+    _common.materialise(bad, "bad")
+    broken = f"file://{tmp_path}/broken"
+    bad.write.parquet(f"{broken}/chunks")
+    spark.read.parquet(f"{path}/recipes").write.partitionBy("part").parquet(f"{broken}/recipes")
+    with pytest.raises(Exception, match="does not verify"):
+        token_store.read(spark, broken).collect()
+
+
+# --- packing ---
+
+
+def test_plan_is_whole_and_near_optimal():
+    rng = random.Random(3)
+    for capacity in (10, 50, 2048):
+        for _ in range(12):
+            counts = Counter(rng.randint(1, capacity) for _ in range(rng.randint(0, 300)))
+            groups = packing.plan(dict(counts), capacity)
+            used = Counter()
+            for g in groups:
+                assert sum(s * k for s, k in g.items) <= capacity
+                for s, k in g.items:
+                    used[s] += g.bins * k
+            assert used == counts
+            first_fit = []
+            for s in sorted(counts.elements(), reverse=True):
+                i = next((i for i, room in enumerate(first_fit) if room >= s), None)
+                if i is None:
+                    first_fit.append(capacity - s)
+                else:
+                    first_fit[i] -= s
+            assert sum(g.bins for g in groups) <= len(first_fit)
+
+
+def best_bins(sizes, capacity):
+    """The fewest bins, by trying all packings."""
+    sizes, best = sorted(sizes, reverse=True), len(sizes)
+
+    def go(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(sizes):
+            best = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= sizes[i]:
+                rest = list(rooms)
+                rest.remove(room)
+                go(i + 1, [*rest, room - sizes[i]])
+        go(i + 1, [*rooms, capacity - sizes[i]])
+
+    go(0, [])
+    return best
+
+
+def test_reduction_keeps_an_optimum():
+    rng = random.Random(9)
+    for _ in range(60):
+        sizes = [rng.randint(1, 20) for _ in range(rng.randint(1, 8))]
+        fixed, left = packing.reduce(dict(Counter(sizes)), 20)
+        rest = [s for s, n in left.items() for _ in range(n)]
+        assert sum(g.bins for g in fixed) + best_bins(rest, 20) == best_bins(sizes, 20), sizes
+
+
+def test_packing(spark):
+    texts = [*EDGE, "long text with words " * 1500]
+    rows = [*enumerate(texts), (None, "null key"), (3, "one")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("length", F.lit(1))
+    got = packing.pack(df, WORDS).collect()
+    ids = defaultdict(list)
+    for i, t in rows:
+        ids[i].append([*library_ids(t), 0])
+    assert sum(r["length"] for r in got) == sum(len(x) for own in ids.values() for x in own)
+    places = defaultdict(list)
+    for r in got:
+        own = ids[r["doc_id"]][0][r["start"] : r["start"] + r["length"]]
+        assert r["start"] == 2048 * r["piece"] and zlib.crc32(np.array(own, "<u4").tobytes()) == r["ids_crc32"] and len(own) == r["length"]
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert packing.pack(df.limit(0), WORDS).count() == 0
+
+
+# --- personal data ---
+
+
+def test_surrogates(spark):
+    rows = [
+        (1, "Mr. John Smith met Mrs. Anna Smith; John.Smith@mail.com or JOHN.SMITH@MAIL.COM, +1 (017) 555-7713 / +1-017-555-7713."),
+        (2, None), (3, ""), (4, "Cards 4111 1111 1111 1111 and 4111111111111111; 10.20.30.40, 999.1.1.1, 123-45-6789; DE89 3704 0044 0532 0130 00."),
+        (5, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"!! 7536784127813050 4845168114407329***'), (6, "nothing at 3. Version 2.0. Mr. and the Dr."), (None, "Госпожа Анна Иванова"), (1, "a.b@c.de"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"n_entities": F.lit("x"), "_found": F.lit(1)})
+    df = df.drop("_found")
+    out = pii.replace(df, "key")
+    got = {r["doc_id"]: r for r in out.where("text not like '%@c%' or text is null").collect() if not (r["doc_id"] == 1 and len(r["text"]) < 40)}
+    one = got[1]["text"]
+    m = regex.fullmatch(r"Mr\. (\p{Lu}\p{Ll}+) (\p{Lu}\p{Ll}+) met Mrs\. (\p{Lu}\p{Ll}+a) (\p{Lu}\p{Ll}+); ([a-z.]+@[a-z]+\.example) or ([A-Z.]+@[A-Z]+\.EXAMPLE), \+1 \((\d{3})\) (\d{3})-(\d{4}) / \+1-\7-\8-\9\.", one)
+    assert m and m[2] == m[4] and m[5] == m[6].lower() and "Smith" not in one and "john" not in one.lower() and got[1]["n_entities"] == 6
+    assert (got[2]["text"], got[2]["n_entities"], got[3]["text"], got[6]["text"], got[6]["n_entities"]) == (None, 0, "", rows[5][1], 0)
+    c = regex.fullmatch(r"Cards (\d{4}) (\d{4}) (\d{4}) (\d{4}) and (\d{16}); (\d+)\.(\d+)\.(\d+)\.(\d+), 999\.1\.1\.1, \d{3}-\d{2}-\d{4}; DE\d\d (?:\d{4} ){4}\d\d\.", got[4]["text"])
+    assert c and "".join(c.groups()[:4]) == c[5] and c[5][0] == "4" and all(int(c[i]) < 256 for i in (6, 7, 8, 9))
+    digits = [int(x) for x in reversed(c[5])]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+    assert regex.fullmatch(r'token = "[0-9a-f]{40}"!! \d{16} \d{16}\*{3}', got[5]["text"]) and "04dbebab" not in got[5]["text"]
+    assert regex.fullmatch(r"Госпожа \p{IsCyrillic}+на \p{IsCyrillic}+", got[None]["text"]) and "Анна" not in got[None]["text"]
+    assert pii.replace(df, "other key").where("doc_id = 5").first()["text"] != got[5]["text"]
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert pii.replace(df.limit(0), "key").count() == 0
+
+
+def test_colliding_surrogates_are_hashed_again(spark):
+    texts = [f"call {a}{b}{c}-11-1111 now" for a in range(1, 3) for b in range(10) for c in range(10)]
+    short = [f"write {x}@{y}.org" for x in "abcdefghij" for y in "abcdefghij"]
+    df = docs(spark, *texts, *short, *short)
+    table = pii.assign(pii.entities(df), "key").collect()
+    made = [(r["kind"], r["surrogate"]) for r in table]
+    assert len(set(made)) == len(made) == 300 and max(r["attempt"] for r in table) > 0
+    assert not {r["surrogate"] for r in table} & {r["entity"] for r in table}
+    want = {r["entity"]: r["surrogate"] for r in table}
+    out = {r["doc_id"]: r["text"] for r in pii.replace(df, "key").collect()}
+    for i, t in enumerate([*texts, *short, *short]):
+        e = t.split()[1]
+        new = out[i].split()[1]
+        assert (new.replace("-", "") if "@" not in e else new) == want[e.replace("-", "") if "@" not in e else e]
+
+
+def test_pii_query_leaves_clean_texts(spark):
+    before = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    private = regex.compile(r'[^\s"]+@[\w.-]+\w|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b|\+\d+ \(\d+\) [\d-]+|\b[0-9a-fA-F]{40}\b')
+    for r in entries.op8_pii_surrogates(spark, SF).collect():
+        found = private.findall(before[r["doc_id"]])
+        assert r["n_entities"] == len(found) and (r["text"] == before[r["doc_id"]]) == (not found)
+        assert not any(x in r["text"] for x in found)
+
+
+# --- fingerprints ---
+
+
+def spots(t):
+    anchors = set(fingerprints.ANCHORS)
+    w = [x for x in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if x]
+    content, out, k = [x for x in w if x not in anchors], set(), 0
+    for x in w:
+        if x in anchors:
+            if k + 1 < len(content):
+                out.add((x, content[k], content[k + 1]))
+        else:
+            k += 1
+    return out or {tuple(w)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("bucket_rows", [1000, 3])
+def test_fingerprints(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(fingerprints, "BUCKET_ROWS", bucket_rows)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["the ", "of ", "cat ", "dog, ", "É! ", "x", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(30)]
+    texts += [t or "" for t in EDGE] + ["the cat sat of dog mat"] * 2
+    df = docs(spark, *[t if t else None for t in texts]).withColumns({"bucket": F.lit(1), "order": F.lit(2)})
+    got = {r["doc_id"]: r for r in fingerprints.compare(df).collect()}
+    n = len(texts)
+    assert len(got) == n
+    for i, t in enumerate(texts):
+        following = texts[(i - 1) % n]
+        half = len(t) // 2
+        new = t[: len(t) - half] + following[:half]
+        r = got[i]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(new.encode()).hexdigest())
+        assert len(r["fingerprint"].split()) == len(spots(t)) and len(r["edited_fingerprint"].split()) == len(spots(new))
+        assert r["near_edited"] == pytest.approx(jaccard(spots(t), spots(new))) and r["near_next"] == pytest.approx(jaccard(spots(t), spots(following)))
+    assert got[n - 1]["fingerprint"] == got[n - 2]["fingerprint"]
+    assert "Python" not in fingerprints.compare(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fingerprints_of_few_rows(spark):
+    assert fingerprints.compare(docs(spark)).count() == 0
+    (r,) = fingerprints.compare(docs(spark, "the cat and dog")).collect()
+    assert r["near_next"] == 1 and r["edited_sha256"] == hashlib.sha256(b"the cat the cat").hexdigest()
+    rows = [(None, "a b"), (1, "the c d"), (1, "the c d"), (None, None)]
+    assert fingerprints.compare(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == 4
+
+
+def test_similar(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(5):
+        own = [rng.choice(["the", "of", f"w{rng.randint(0, 300)}"]) for _ in range(80)]
+        for _ in range(8):
+            t = list(own)
+            for _ in range(rng.randint(0, 5)):
+                t[rng.randrange(80)] = f"e{rng.randint(0, 30)}"
+            texts.append(" ".join(t))
+    texts += [texts[0], None]
+    links, members = fingerprints.similar(docs(spark, *texts), 0.7)
+    of = dict(members.collect())
+    assert of[len(texts) - 2] == 0
+    reps = sorted(set(of.values()))
+    want = {(a, b) for a in reps for b in reps if a < b and jaccard(spots(texts[a]), spots(texts[b])) >= 0.7}
+    assert {tuple(sorted((r["a"], r["b"]))) for r in links.collect()} == want and links.count() == len(want)
+
+
+# --- SQL and the pipeline ---
+
+
+@pytest.mark.parametrize("name", sorted(entries.ORACLE_SQL))
+def test_sql(spark, name):
+    c = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    want = c.sql(entries.ORACLE_SQL[name])
+    got = entries.QUERIES[name](spark, SF).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as p
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, kept = rows.columns, rows
+    from strandloom.llm import quality_rules
+
+    for name, stage in p.STAGES[:-1]:
+        before, kept = kept, _common.materialise(stage(spark, kept, SF), name)
+        assert kept.columns == columns and kept.join(before, "doc_id", "left_anti").count() == 0
+        if name == "language":
+            assert before.count() == kept.count()
+        if name == "quality":
+            passed = quality_rules.apply(before).where("kept").select("doc_id")
+            assert {r[0] for r in passed.collect()} == {r[0] for r in kept.select("doc_id").collect()}
+        if name == "near-duplicates":
+            texts = {r["doc_id"]: r["text"] for r in before.collect()}
+            assert {r[0] for r in kept.select("doc_id").collect()} == {i for i, (_, c) in components(texts, 5, 80).items() if c == i}
+    packed = p.run(spark, SF)
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+    assert packed.select("doc_id").distinct().count() == kept.count()
+
+
+def test_pipeline_edges(spark):
+    import corpus_pipeline as p
+
+    clean = "the house of the man and the dog in the street was a very old one " * 3
+    words = " ".join(f"{w}{i}" if i % 4 else "the" for i, w in enumerate(["alpha", "beta", "gamma", "delta"] * 20))
+    rows = [(1, words, "en", "s", 1), (2, None, None, None, None), (3, "", "en", "s", 0), (None, words + " more", "en", "s", 1), (4, clean, "en", "s", 1), (5, "$$ 12", "en", None, 1)]
+    kept = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for _, stage in p.STAGES[:-1]:
+        kept = _common.materialise(stage(spark, kept, SF), "edge")
+    assert p.STAGES[-1][1](spark, kept, SF).count() >= 1
+    for _, stage in p.STAGES:
+        stage(spark, spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint"), SF).collect()
