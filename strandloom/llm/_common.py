@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,16 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the folder that all executors share.
 
-    That is ``spark.checkpoint.dir``. Where it is unset, as in tests on one machine, a new
-    temporary folder takes its place for the rest of the session.
+    That is ``spark.checkpoint.dir``. Where it is unset, as in tests on one machine, a temporary
+    folder of this process takes its place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+@cache
+def _own_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='spark-')}"
+
+
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there."""
     path = scratch(df.sparkSession, what)
@@ -82,8 +85,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges = materialise(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    seen = None
+    state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    seen = state(edges)
     for _ in range(rounds):
+        if seen[0] == 0:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -94,13 +100,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         edges = materialise(
             small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "edges"
         )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        seen = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+        before, seen = seen, state(edges)
+        if seen == before:
+            break
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def let(value: Column, body) -> Column:

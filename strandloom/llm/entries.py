@@ -85,4 +85,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.oracle_sql(),
+    "op5_minhash_dedup": near_dedup.oracle_sql(words=3, percent=85),
 }

@@ -202,3 +202,35 @@ def link(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id",
         F.col("node").alias(key), "n_shingles", F.coalesce("class_id", "node").alias("component_id")
     )
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+
+
+def oracle_sql(words: int = 3, percent: int = 85) -> str:
+    """The rows of ``link`` for ``documents`` in DuckDB SQL: every pair that shares a shingle, then a recursive walk."""
+    gram = " || ' ' || ".join(f"w[i + {k}]" if k else "w[i]" for k in range(words))
+    return rf"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+g as (
+  select distinct doc_id, unnest(case
+    when len(w) = 0 then []
+    when len(w) < {words} then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - {words - 2}), lambda i: {gram}) end) as gram
+  from d
+),
+n as (select doc_id, count(*) as n from g group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from g a join g b on a.gram = b.gram and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select a, b from common join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= {percent} * (na.n + nb.n - k)
+),
+steps as (select a, b from links union all select b, a from links),
+walk as (
+  select doc_id, doc_id as reached from d
+  union
+  select walk.doc_id, steps.b from walk join steps on steps.a = walk.reached
+),
+least as (select doc_id, min(reached) as component_id from walk group by doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, component_id, component_id = d.doc_id as kept
+from d join least using (doc_id) left join n on n.doc_id = d.doc_id
+"""
