@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import _common as c
 
-#: Groups in each of the two collections, and minhashes in a group: 48 minhashes make 64 tables of 6.
-#: Two sets of similarity 0.85 share a key with probability 0.999, of 0.9 with 0.99994.
-GROUPS, ROWS = 8, 3
+#: Groups in each of the two collections, and minhashes in a group: 72 minhashes make 144 tables of 6.
+#: Two sets of similarity 0.8 share a key with probability 0.9996, of 0.85 with 0.99998.
+GROUPS, ROWS = 12, 3
 #: Longs in the bit map of a set.
 MAP_LONGS = 16
 
