@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -14,8 +15,22 @@ from tokenizers.pre_tokenizers import ByteLevel
 #: Texts of these characters only: each stays as it is under NFC, is lower-cased alone, and of them
 #: just the six ASCII ones are white space. Then a word between them has the same ids in any text.
 NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa1-įı-ſ]")
-#: Words and pieces kept at most, for each worker process; later ones are worked out each time.
-KEPT = 1_000_000
+#: Words and pieces kept at most, for each worker process (about 130 MB); later ones are worked out each time.
+KEPT = 600_000
+
+
+class _Known(dict[str, bytes]):
+    """The ids of words, and of the pieces of words that have several; others are made when asked for."""
+
+    def __init__(self, encoder: WordEncoder):
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        pieces = self.encoder._cut(word)
+        out = self.encoder._piece(word) if pieces == [word] else b"".join([self[p] for p in pieces])
+        if len(self) < KEPT:
+            self[word] = out
+        return out
 
 
 class WordEncoder:
@@ -32,8 +47,7 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.model, self.byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = _Known(self)
         self.pattern = self._pattern(spec)
         self.marks = [t["content"].lower() for t in spec.get("added_tokens") or []]
 
@@ -53,21 +67,18 @@ class WordEncoder:
         return regex.compile(cut[0]["pattern"]["Regex"]) if by_words else None
 
     def _piece(self, piece: str) -> bytes:
-        out = self.pieces.get(piece)
-        if out is None:
-            # the printable ASCII characters stand for their own bytes
-            part = piece if piece.isascii() else self.byte_level.pre_tokenize_str(piece)[0][0]
-            ids = [t.id for t in self.model.tokenize(part)]
-            out = np.array(ids, dtype="<u4").tobytes()
-            if len(self.pieces) < KEPT:
-                self.pieces[piece] = out
-        return out
+        # the printable ASCII characters stand for their own bytes
+        part = piece if piece.isascii() else self.byte_level.pre_tokenize_str(piece)[0][0]
+        ids = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> bytes:
-        out = b"".join([self._piece(p) for p in self.pattern.findall(word)])
-        if len(self.words) < KEPT:
-            self.words[word] = out
-        return out
+    def _cut(self, word: str) -> list[str]:
+        """The pieces of a word: itself if all letters, often letters and a stop, else by the file's pattern."""
+        if word.isalpha():
+            return [word]
+        if word[-1] in ".," and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.pattern.findall(word)
 
     def __call__(self, text: str | None) -> bytes:
         text = text or ""
@@ -76,8 +87,7 @@ class WordEncoder:
         low = text.lower()
         if any(m in low for m in self.marks):
             return self._whole(text)
-        known = self.words
-        return b"".join([known[w] if w in known else self._word(w) for w in low.split()])
+        return b"".join(map(self.known.__getitem__, low.split()))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
