@@ -12,9 +12,11 @@ def pair(cuts: DataFrame, mode: str = "all") -> DataFrame:
     """(read_idx, read_id, i, j, and seq and qual of both): all pairs i < j of a read, or adjacent ones (``seq``).
 
     Reads with fewer than two kept monomers give none. Both sides are in one row, so they stay in step.
-    No shuffle: a read's pairs come from its own row.
+    No shuffle: a read's pairs come from its own row. Its monomers are cut out once, not for every pair.
     """
-    each = cuts.where(F.size("kept") >= 2).select("read_idx", "read_id", "seq", "qual", "kept", F.explode(rank_pairs(F.size("kept"), mode)).alias("p"))
-    one, two = F.get(F.col("kept"), F.col("p.i") - 1), F.get(F.col("kept"), F.col("p.j") - 1)
-    sides = {f"r{k}_{c}": cut_out(F.col(c), m["beg"], m["end"]) for k, m in ((1, one), (2, two)) for c in ("seq", "qual")}
-    return each.select("read_idx", "read_id", F.col("p.i").cast("bigint").alias("i"), F.col("p.j").cast("bigint").alias("j"), *[v.alias(k) for k, v in sides.items()])
+    cut = F.transform("kept", lambda m: F.struct(*[cut_out(F.col(c), m["beg"], m["end"]).alias(c) for c in ("seq", "qual")]))
+    ready = cuts.where(F.size("kept") >= 2).select("read_idx", "read_id", cut.alias("own"))
+    each = ready.select("read_idx", "read_id", "own", F.explode(rank_pairs(F.size("own"), mode)).alias("p"))
+    one, two = F.get("own", F.col("p.i") - 1), F.get("own", F.col("p.j") - 1)
+    sides = [m[c].alias(f"r{k}_{c}") for k, m in ((1, one), (2, two)) for c in ("seq", "qual")]
+    return each.select("read_idx", "read_id", F.col("p.i").cast("bigint").alias("i"), F.col("p.j").cast("bigint").alias("j"), *sides)
