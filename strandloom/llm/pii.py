@@ -23,24 +23,44 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
 HEX = r"(?<![\p{L}\p{N}])(?=[0-9a-fA-F]{0,63}[0-9])[0-9a-fA-F]{32,64}(?![\p{L}\p{N}])"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![\p{L}\p{N}])"
-IPV6 = r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
+_H = "[0-9A-Fa-f]{1,4}"
+_SHORT = "|".join(f"(?:{_H}:){{1,{7 - n}}}(?::{_H}){{1,{n}}}" for n in range(1, 7))
+#: Eight groups, or fewer around "::" if one has three digits (a slice such as 1::2 in code has none).
+IPV6 = (
+    rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{_H}:){{7}}{_H}|(?=[0-9A-Fa-f:]*[0-9A-Fa-f]{{3}})(?=[A-Fa-f:]*[0-9]|(?:[A-Fa-f]*:){{3}})"
+    rf"(?:(?:{_H}:){{1,7}}:|{_SHORT}|:(?::{_H}){{2,7}}))(?![\p{{L}}\p{{N}}]|:[0-9A-Fa-f:]|\.\d)"
+)
 IPV4 = rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.\d)"
-CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\p{L}\p{N}])"
+CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}([ -])(?:\d{4}\1\d{4}\1\d{1,7}(?:\1\d{1,3})?|\d{6}\1\d{4,5}))(?![\p{L}\p{N}])"
 SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])"
+#: National forms: a leading 0, by pairs, in three parts or two, unbroken, or 00 and a country; then those of Russia and Spain.
+_NATIONAL = (
+    r"(?<!\d[.,:/-])(?:0\d(?:[ .-]\d{2}){4}|0\d{2,4}(?:[ /-]\d{2,3}){3,4}|0\d{1,4}[ .-]\d{3,4}[ .-]\d{3,4}|0\d{2,4}/\d{3,4}[ .-]\d{3,4}"
+    r"|00\d{1,3}(?:[ .-]?\d{2,4}){2,5}|0\d{2,5}[ /-]\d{5,8}|0\d[ /-]\d{6,8}|\(0\d{1,5}\)[ .-]?\d{2,8}(?:[ .-]\d{2,4}){0,3}|0\d{8,11}"
+    r"|8[ -]?(?:\(\d{3}\)|\d{3})[ -]?\d{3}[ -]\d{2}[ -]\d{2}|(?<!\d )[6-9]\d{2} (?:\d{3} \d{3}|\d{2} \d{2} \d{2})(?![ .,]\d))"
+)
 PHONE = (
-    r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
-    r"|\(\d{2,4}\) ?\d{3,4}[ .-]\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])"
+    r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\+\d{1,3}[ .-]\d(?:[ .-]\d{2,4}){3,5}"
+    rf"|\(\d{{2,4}}\) ?\d{{3,4}}[ .-]\d{{3,4}}|(?:1[ .-])?\d{{3}}[ .-]\d{{3}}[ .-]\d{{4}}|{_NATIONAL})(?![\p{{L}}\p{{N}}])"
 )
-MALE = "Mr Herr Señor Mister Monsieur Господин Κύριος"
-FEMALE = "Mrs Ms Miss Frau Mme Mlle Madame Señora Señorita Sra Госпожа Κυρία"
-NEUTRAL = "Dr Prof"
+MALE = "Mr Herr Hr Señor Sr Mister Monsieur Signor Sir Господин Κύριος"
+FEMALE = "Mrs Ms Miss Frau Mme Mlle Madame Señora Señorita Sra Srta Signora Госпожа Κυρία"
+NEUTRAL = "Dr Prof Mx"
 _TITLES = "|".join(f"{MALE} {FEMALE} {NEUTRAL}".split())
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})"
+_SPACE = r"[ \x{A0}]"
+#: One title; M. needs its dot, a space, and a word that isn't an initial.
+_TITLE = rf"(?:(?:{_TITLES})(?:\.{_SPACE}?|{_SPACE})|(?<!\p{{Lu}}\.)(?<!\p{{Lu}}\. )M\.{_SPACE}(?=\p{{Lu}}[\p{{L}}'’]|d['’]))"
+#: A word of a name (Smith, SMITH, McDonald, O'Brien) or an initial without its dot, and what may stand before it in lower case.
+WORD = r"(?:\p{Lu}(?:['’]\p{L})?[\p{L}\p{M}]+|\p{Lu}(?![\p{L}\p{M}'’]))"
+_LEAD = rf"(?:(?:van|von|vom|zu|zum|zur|der|den|ten|ter|de|del|della|di|da|do|dos|das|du|des|la|le|los|las|af|av|al|el|bin|ibn|y){_SPACE}|[dl]['’]){{0,3}}"
+_JOIN = rf"(?:(?<=(?<![\p{{L}}\p{{M}}])\p{{Lu}})\.{_SPACE}?|{_SPACE}|-)"
+#: Up to three titles and up to eight words.
+NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE}){{1,3}}{_LEAD}{WORD}(?:{_JOIN}{_LEAD}{WORD}){{0,7}}(?!\p{{L}})"
 KINDS = {"email": EMAIL, "secret": HEX, "ipv6": IPV6, "iban": IBAN, "card": CARD, "ssn": SSN, "ipv4": IPV4, "phone": PHONE, "name": NAME}
 #: All in one pattern; the back reference of a card is the pattern's only group.
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Texts without a match of this have no entity; it is cheap to look for.
-HINT = rf"[@0-9]|(?:{_TITLES})\.? "
+HINT = rf"[@0-9]|::|(?:{_TITLES}|M)(?:\.|{_SPACE})"
 
 _HEX = "0123456789abcdef"
 _CONSONANTS, _VOWELS = "bdfghklmnprstvzj", "aeiouaeiouaeioua"
@@ -58,30 +78,49 @@ def kind_of(entity: Column) -> Column:
     return out
 
 
+def _title(entity: Column) -> Column:
+    """The titles before a name, with the space after them; empty for a bare word."""
+    return F.regexp_extract(entity, rf"^((?:{_TITLE}){{0,3}})", 1)
+
+
+def _untitled(entity: Column) -> Column:
+    return F.substring(entity, F.length(_title(entity)) + 1, F.length(entity))
+
+
 def _words(entity: Column) -> Column:
-    """The words of a name after its title."""
-    return F.split(F.regexp_replace(entity, r"^\S+ ", ""), "[ -]")
+    """The words and initials of a name after its titles, without what stands before them in lower case."""
+    return F.regexp_extract_all(_untitled(entity), F.lit(WORD), F.lit(0))
 
 
 def _title_gender(entity: Column) -> Column:
-    title = F.regexp_extract(entity, r"^([^ .]+)", 1)
-    return F.when(title.isin(FEMALE.split()), "f").when(title.isin(MALE.split()), "m").otherwise("n")
+    one_of = lambda titles: rf"(?<!\p{{L}})(?:{'|'.join(titles.split())})(?!\p{{L}})"
+    title = _title(entity)
+    return F.when(title.rlike(one_of(FEMALE)), "f").when(title.rlike(one_of(MALE) + r"|^M\."), "m").otherwise("n")
+
+
+def _groups(address: Column) -> Column:
+    """An IPv6 address as eight groups of four digits."""
+    side = lambda x: F.transform(F.filter(F.split(x, ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0"))
+    left, right = side(F.substring_index(address, "::", 1)), F.when(address.contains("::"), side(F.substring_index(address, "::", -1))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(left, F.array_repeat(F.lit("0000"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right))), right), ":")
 
 
 def canonical(kind: Column, entity: Column) -> Column:
-    """What all spellings of an entity share: digits alone, or lower case without spaces."""
-    return F.when(kind.isin("card", "phone", "ssn"), F.regexp_replace(entity, "[^0-9]", "")).otherwise(F.regexp_replace(F.lower(entity), " ", ""))
+    """What all spellings of an entity share: digits alone, whole groups, or lower case without spaces."""
+    digits = F.regexp_replace(entity, "[^0-9]", "")
+    return F.when(kind.isin("card", "phone", "ssn"), digits).when(kind == "ipv6", _groups(F.lower(entity))).otherwise(F.regexp_replace(F.lower(entity), " ", ""))
 
 
 def _parts(entity: Column) -> Column:
     """The (kind, canonical) entities in what was found: one, or the words of a name.
 
     The last word of a name is a family name, of no gender; one before it is a given name of the title's gender.
+    A letter alone is an initial.
     """
     kind = kind_of(entity)
     n = F.size(_words(entity))
-    name_kind = lambda i: F.when(i == n - 1, F.lit("family")).otherwise(F.concat(F.lit("given_"), _title_gender(entity)))
-    words = F.transform(_words(entity), lambda w, i: F.struct(name_kind(i).alias("kind"), F.lower(w).alias("entity")))
+    name_kind = lambda w, i: F.when(F.length(w) == 1, F.lit("initial")).when(i == n - 1, F.lit("family")).otherwise(F.concat(F.lit("given_"), _title_gender(entity)))
+    words = F.transform(_words(entity), lambda w, i: F.struct(name_kind(w, i).alias("kind"), F.lower(w).alias("entity")))
     return let(kind, lambda k: F.when(k == "name", words).otherwise(F.array(F.struct(k.alias("kind"), canonical(k, entity).alias("entity")))))
 
 
@@ -138,6 +177,13 @@ def _syllables(kind: Column, entity: Column, stream: Column) -> Column:
     return script.otherwise(latin)
 
 
+def _initial(entity: Column, stream: Column) -> Column:
+    """Another letter of the entity's script."""
+    made = F.substring(_syllables(F.lit("initial"), entity, stream), 1, 1)
+    letters = [_LATIN[:16], _CYRILLIC[:16], _GREEK[:16]]
+    return F.when(made == entity, F.translate(made, "".join(letters), "".join(x[1:] + x[0] for x in letters))).otherwise(made)
+
+
 def surrogate(kind: Column, entity: Column, secret: str, attempt: Column) -> Column:
     """The canonical surrogate of a canonical entity."""
 
@@ -151,6 +197,7 @@ def surrogate(kind: Column, entity: Column, secret: str, attempt: Column) -> Col
             .when(kind == "ipv6", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(stream, i * 4 + 1, F.lit(4))), ":"))
             .when(kind == "iban", F.lower(_shape(F.upper(entity), stream, 2)))
             .when(kind.isin("card", "phone", "ssn"), _digits(kind, entity, stream))
+            .when(kind == "initial", _initial(entity, stream))
             .otherwise(_syllables(kind, entity, stream))
         )
 
@@ -171,9 +218,12 @@ def _found(text: Column) -> Column:
 
 
 def entities(df: DataFrame, text: str = "text") -> DataFrame:
-    """The distinct (kind, entity) of all texts, canonical; a grouping with a partial step."""
+    """The distinct (kind, entity) of all texts, canonical; a grouping with a partial step.
+
+    Initials are left out: there are too few letters for surrogates of their own.
+    """
     each = df.select(F.explode(_found(F.col(text))).alias("found")).select(F.explode(_parts(F.col("found"))).alias("e"))
-    return each.select("e.kind", "e.entity").distinct()
+    return each.select("e.kind", "e.entity").where("kind <> 'initial'").distinct()
 
 
 def _space(kind: Column) -> Column:
@@ -232,20 +282,34 @@ def _replaced(df: DataFrame, text: str, count: str, secret: str, attempts: Colum
 
     def new(entity: Column) -> Column:
         def named(parts: Column) -> Column:
-            words = F.transform(parts, lambda p: F.initcap(surrogate(p["kind"], p["entity"], secret, attempt(p["kind"], p["entity"]))))
-            joint = F.when(F.regexp_replace(entity, r"^\S+ ", "").contains("-"), "-").otherwise(" ")
-            title = F.regexp_extract(entity, r"^(\S+ )", 1)
-            return F.concat(title, F.when(F.size(words) > 1, F.concat(words[0], joint, F.element_at(words, -1))).otherwise(words[0]))
+            words = F.transform(parts, lambda p: surrogate(p["kind"], p["entity"], secret, attempt(p["kind"], p["entity"])))
+            gaps = F.split(_untitled(entity), WORD, -1)
+            loud = lambda w: (F.length(w) > 1) & (w == F.upper(w))
+            cased = F.zip_with(_words(entity), words, lambda w, x: F.when(loud(w), F.upper(x)).otherwise(F.initcap(x)))
+            return F.concat(_title(entity), F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(cased, i), F.lit("")))), ""))
 
         def other(parts: Column) -> Column:
             kind, name = parts[0]["kind"], parts[0]["entity"]
             return _spelled(kind, entity, surrogate(kind, name, secret, attempt(kind, name)))
 
-        is_name = lambda p: p[0]["kind"].startswith("given_") | (p[0]["kind"] == "family")
-        return let(_parts(entity), lambda p: F.when(is_name(p), named(p)).otherwise(other(p)))
+        # a bare word is what it was where it has a title
+        bare = F.filter("_names", lambda p: p["entity"] == F.lower(entity))
+        is_name = lambda p: p[0]["kind"].startswith("given_") | p[0]["kind"].isin("family", "initial")
+        parts = F.when(F.size(bare) > 0, F.slice(bare, 1, 1)).otherwise(_parts(entity))
+        return let(parts, lambda p: F.when(is_name(p), named(p)).otherwise(other(p)))
 
     t = F.col(text)
     out = df.withColumn("_found", _found(t))
-    pieces = let(F.split(t, ANY, -1), lambda s: F.transform(s, lambda x, i: F.when(i < F.size("_found"), F.concat(x, new(F.get(F.col("_found"), i)))).otherwise(x)))
+    # names of the text, and a pattern that also finds their words where they have no title
+    titled = F.filter("_found", lambda x: x.rlike(rf"^(?:{NAME})$"))
+    out = out.withColumn("_titled", F.coalesce(titled, F.array().cast("array<string>")))
+    known = F.filter(F.flatten(F.transform("_titled", _words)), lambda w: F.length(w) > 1)
+    out = out.withColumns({"_names": F.flatten(F.transform("_titled", _parts)), "_known": known})
+    spellings = F.array_distinct(F.concat("_known", F.transform("_known", F.upper), F.transform("_known", F.initcap)))
+    bare = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{M}\p{N}])(?:"), F.array_join(spellings, "|"), F.lit(r")(?![\p{L}\p{M}\p{N}])"))
+    out = out.withColumn("_pattern", F.when(F.size("_known") > 0, bare).otherwise(F.lit(ANY)))
+    out = out.withColumn("_found", F.when(F.size("_known") > 0, F.regexp_extract_all(t, F.col("_pattern"), F.lit(0))).otherwise(F.col("_found")))
+    pieces = let(F.split(t, F.col("_pattern"), -1), lambda s: F.transform(s, lambda x, i: F.when(i < F.size("_found"), F.concat(x, new(F.get(F.col("_found"), i)))).otherwise(x)))
     changed = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(t)
-    return out.withColumns({text: changed, count: F.coalesce(F.size("_found"), F.lit(0)).cast("long")}).drop("_found")
+    out = out.withColumns({text: changed, count: F.coalesce(F.size("_found"), F.lit(0)).cast("long")})
+    return out.drop("_found", "_titled", "_names", "_known", "_pattern")

@@ -254,6 +254,34 @@ def test_surrogates(spark):
     assert pii.replace(df.limit(0), "key").count() == 0
 
 
+def test_more_forms_of_personal_data(spark):
+    gone = [
+        "2001:db8::1", "fe80::1ff:fe23:4567:890a", "3782 822463 10005", "01 23 45 67 89", "0171 1234567", "555 123 4567", "020 7946 0958", "0612345678",
+        "+33 1 23 45 67 89", "8 (495) 123-45-67", "612 34 56 78", "1-800-555-1234",
+    ]
+    names = {
+        "Mr McDonald": "McDonald", "Mr O'Brien": "O'Brien", "Mr John Fitzgerald Kennedy": "John Fitzgerald Kennedy", "Sr. García": "García", "M. Dupont": "Dupont",
+        "Herr Dr. von Stein-Huber": "Stein Huber", "Mr J. R. Tolkien": "J. Tolkien", "MRS": "", "Mrs SMITH": "SMITH", "Frau Ludwiga van Zomeren": "Ludwiga Zomeren",
+    }
+    stay = ["on 01.02.2024 12:30", "a[1::2] std::abs ::", "from 09/2023-2024", "0.123456789", "M.I.T. and J. M.", "Mr. and the Dr.", "2024-01-15", "1 612 345 678", "10:30:45"]
+    later = "Mr John Smith and Sra. Smith. SMITH's house, Smithson; John went, so smith. Frau John!"
+    texts = [f"see {x}: yes" for x in gone] + [f"see {x} here" for x in names] + stay + [later, "2001:0DB8:0:0:0:0:0:1 2001:db8::1"]
+    got = {r["doc_id"]: r for r in pii.replace(docs(spark, *texts), "key").collect()}
+    out = [got[i]["text"] for i in range(len(texts))]
+    for x, t in zip(gone, out, strict=False):
+        assert regex.fullmatch(r"see [^ ].*: yes", t) and x not in t and (":" in x or regex.sub(r"\d", "9", x) in regex.sub(r"\d", "9", t))
+    for (x, words), t in zip(names.items(), out[len(gone) :], strict=False):
+        assert not any(regex.search(rf"\b{w}\b", t) for w in words.split()), t
+        assert t.split()[:2] == ["see", x.split()[0]] and t.endswith(" here") and (x == "MRS") == (t == f"see {x} here")
+    assert "Herr Dr. von " in out[len(gone) + 5] and " van " in out[len(gone) + 9] and out[len(gone) + 8].split()[2].isupper()
+    assert out[len(gone) + len(names) : -2] == stay
+    m = regex.fullmatch(r"Mr (\w+) (\w+) and Sra\. (\w+)\. (\w+)'s house, Smithson; (\w+) went, so smith\. Frau (\w+)!", out[-2])
+    assert m and m[2] == m[3] and m[4] == m[2].upper() and m[5] == m[1] and got[len(texts) - 2]["n_entities"] == 5
+    assert not {"John", "Smith"} & {*m.groups()}
+    a, b = out[-1].split()
+    assert a == b.upper() and a != b
+
+
 def test_colliding_surrogates_are_hashed_again(spark):
     texts = [f"call {a}{b}{c}-11-1111 now" for a in range(1, 3) for b in range(10) for c in range(10)]
     short = [f"write {x}@{y}.org" for x in "abcdefghij" for y in "abcdefghij"]
