@@ -3,11 +3,14 @@
 Built-in functions only: no Python runs on the executors. A surrogate is a keyed hash in the shape of
 what it replaces, so the same entity gets the same one everywhere without a table (coreference).
 A check over all distinct entities finds surrogates that two entities share, or that are
-themselves entities of the input; those entities are hashed again until none is (distinctness).
+themselves entities of the input; those entities are hashed again until none is (distinctness). Where a
+format has too few values for that, short numbers get the values that are left, and the rest a longer form.
 """
 
 from __future__ import annotations
 
+from itertools import count as count_up
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,8 +18,10 @@ from pyspark.sql.window import Window
 from strandloom.llm import _common as c
 from strandloom.llm._common import let
 
-#: Attempts for an entity before the job fails.
-ATTEMPTS = 40
+#: Attempts in an entity's own format, before free values and longer forms.
+NARROW = 8
+#: Phone and other numbers of at most so many digits can be listed to find free values.
+FREE_DIGITS = 9
 
 # What is looked for, in the order in which it is tried at a place.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -167,10 +172,10 @@ def _octets(stream: Column) -> Column:
     return F.concat_ws(".", (byte(0) % 223 + 1).cast("string"), *[byte(i).cast("string") for i in (1, 2, 3)])
 
 
-def _syllables(kind: Column, entity: Column, stream: Column) -> Column:
+def _syllables(kind: Column, entity: Column, stream: Column, wide: Column) -> Column:
     """A pronounceable word in the entity's script; given names end as the gender asks."""
     pair = lambda i: F.concat(F.translate(F.substring(stream, 2 * i + 1, 1), _HEX, _CONSONANTS), F.translate(F.substring(stream, 2 * i + 2, 1), _HEX, _VOWELS))
-    stem = F.concat(*[pair(i) for i in range(4)])
+    stem = F.concat(*[pair(i) for i in range(4)], F.when(wide, F.concat(*[pair(i) for i in range(4, 8)])).otherwise(F.lit("")))
     ending = F.when(kind == "given_f", "na").when(kind == "given_m", "n").when(kind == "family", "r").otherwise("l")
     latin = F.concat(stem, ending)
     script = F.when(entity.rlike(r"\p{IsCyrillic}"), F.translate(latin, _LATIN, _CYRILLIC)).when(entity.rlike(r"\p{IsGreek}"), F.translate(latin, _LATIN, _GREEK))
@@ -179,36 +184,44 @@ def _syllables(kind: Column, entity: Column, stream: Column) -> Column:
 
 def _initial(entity: Column, stream: Column) -> Column:
     """Another letter of the entity's script."""
-    made = F.substring(_syllables(F.lit("initial"), entity, stream), 1, 1)
+    made = F.substring(_syllables(F.lit("initial"), entity, stream, F.lit(False)), 1, 1)
     letters = [_LATIN[:16], _CYRILLIC[:16], _GREEK[:16]]
     return F.when(made == entity, F.translate(made, "".join(letters), "".join(x[1:] + x[0] for x in letters))).otherwise(made)
 
 
 def surrogate(kind: Column, entity: Column, secret: str, attempt: Column) -> Column:
-    """The canonical surrogate of a canonical entity."""
+    """The canonical surrogate of a canonical entity; from attempt NARROW on in a longer form of its format.
+
+    Then e-mail addresses, numbers and IBANs get twelve more characters and names four more syllables, and an IPv4 address
+    becomes one of eight groups. Other formats have values enough.
+    """
+    wide = attempt >= NARROW
 
     def of(stream: Column) -> Column:
         local, domain = F.substring_index(entity, "@", 1), F.regexp_extract(entity, "@([^.]+)", 1)
         rotated = F.concat(F.substring(stream, 65, 64), F.substring(stream, 1, 64))
+        more = lambda digits: F.when(wide, F.translate(F.substring(stream, 109, 12), _HEX, digits)).otherwise(F.lit(""))
+        groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(stream, i * 4 + 1, F.lit(4))), ":")
         return (
-            F.when(kind == "email", F.concat(_shape(local, stream), F.lit("@"), _shape(domain, rotated), F.lit(".example")))
+            F.when(kind == "email", F.concat(_shape(local, stream), more("acdefhkmnprtuvxz"), F.lit("@"), _shape(domain, rotated), F.lit(".example")))
             .when(kind == "secret", F.substring(stream, F.lit(1), F.length(entity)))
-            .when(kind == "ipv4", _octets(stream))
-            .when(kind == "ipv6", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(stream, i * 4 + 1, F.lit(4))), ":"))
-            .when(kind == "iban", F.lower(_shape(F.upper(entity), stream, 2)))
-            .when(kind.isin("card", "phone", "ssn"), _digits(kind, entity, stream))
+            .when(kind == "ipv4", F.when(wide, groups).otherwise(_octets(stream)))
+            .when(kind == "ipv6", groups)
+            .when(kind == "iban", F.concat(F.lower(_shape(F.upper(entity), stream, 2)), more("0123456789724681")))
+            .when(kind.isin("card", "phone", "ssn"), F.concat(_digits(kind, entity, stream), more("0123456789724681")))
             .when(kind == "initial", _initial(entity, stream))
-            .otherwise(_syllables(kind, entity, stream))
+            .otherwise(_syllables(kind, entity, stream, wide))
         )
 
     return let(_stream(secret, kind, entity, attempt), of)
 
 
 def _spelled(kind: Column, entity: Column, new: Column) -> Column:
-    """A canonical surrogate in the spelling of the entity found: its separators, and its case."""
+    """A canonical surrogate in the spelling of the entity found: its separators, and its case; what is longer follows."""
     gaps = F.split(entity, "[0-9]", -1)
-    digits = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.substring(new, i + 1, F.lit(1)))), "")
+    digits = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.substring(new, i + 1, F.when(i < F.size(gaps) - 1, 1).otherwise(F.length(new))))), "")
     groups = F.array_join(F.transform(F.split(F.upper(entity), ""), lambda ch, i: F.when(ch == " ", ch).otherwise(F.substring(F.upper(new), i + 1 - F.length(F.regexp_replace(F.substring(entity, F.lit(1), i), "[^ ]", "")), F.lit(1)))), "")
+    groups = F.concat(groups, F.substring(new, F.length(F.regexp_replace(entity, " ", "")) + 1, F.length(new)))
     shouted = F.when((entity == F.upper(entity)) & (entity != F.lower(entity)), F.upper(new)).otherwise(new)
     return F.when(kind.isin("card", "phone", "ssn"), digits).when(kind == "iban", groups).otherwise(shouted)
 
@@ -231,16 +244,47 @@ def _space(kind: Column) -> Column:
     return F.when(kind.startswith("given_") | (kind == "family"), "name").otherwise(kind)
 
 
+def _ranked(df: DataFrame, place: Column, what: str) -> DataFrame:
+    """Add ``rank``: the number of rows of the same format that come before in the order of ``place``."""
+    rows = df.withColumns({"place": F.concat_ws(":", "format", place), "one": F.lit(1)})
+    rows = c.materialise(c.running_start(c.ordered_parts(rows, "place", what), "place", "one", [], "rank"), what)
+    low = rows.groupBy("format").agg(F.min("rank").alias("low"))
+    return rows.join(F.broadcast(low), "format").withColumn("rank", F.col("rank") - F.col("low")).drop("low", "place", "one", "part")
+
+
+def _free(todo: DataFrame, taken: DataFrame, secret: str) -> DataFrame | None:
+    """Short numbers of ``todo`` with a value of their format (first digit and length) that isn't in ``taken``, as far as there are any.
+
+    Entities, in the order of a keyed hash, meet free values by rank.
+    """
+    n, first = F.length("entity"), F.substring("entity", 1, 1)
+    short = todo.where(F.col("space").isin("phone", "ssn") & (n <= FREE_DIGITS)).withColumn("format", F.concat_ws("-", "space", n, first))
+    formats = short.select("format", "space", n.alias("n"), first.alias("first")).distinct().collect()
+    if not formats:
+        return None
+    values = None
+    for length in sorted({f["n"] for f in formats}):
+        own = todo.sparkSession.createDataFrame([(f["format"], f["space"], f["first"]) for f in formats if f["n"] == length], "format string, space string, first string")
+        made = todo.sparkSession.range(10 ** (length - 1)).crossJoin(F.broadcast(own))
+        made = made.select("format", "space", F.concat("first", F.lpad(F.col("id").cast("string"), length - 1, "0")).alias("surrogate"))
+        values = made if values is None else values.unionByName(made)
+    values = _ranked(values.join(taken, ["space", "surrogate"], "left_anti"), F.col("surrogate"), "free-values")
+    short = _ranked(short, _stream(secret, F.col("kind"), F.col("entity"), F.lit("free")), "short-numbers")
+    given = short.join(values.select("format", "rank", "surrogate"), ["format", "rank"])
+    return c.materialise(given.select("kind", "entity", "space", "surrogate", "attempt"), "given-values")
+
+
 def assign(found: DataFrame, secret: str) -> DataFrame:
     """(kind, entity, surrogate, attempt): surrogates that are distinct and are no entity of the input.
 
     Each round hashes again the entities whose surrogate another one has (all but the first of them, in the
-    order of attempts and entities) or which is an entity; the rest keep theirs. Rounds end when no entity is left.
+    order of attempts and entities) or which is an entity; the rest keep theirs. After NARROW rounds short numbers
+    get free values, and what is left gets longer forms, of which there are always enough. Rounds end when no entity is left.
     """
     known = c.materialise(found.withColumn("space", _space(F.col("kind"))), "entities")
     taken = known.select("space", F.col("entity").alias("surrogate")).distinct()
     todo, done = known.withColumn("attempt", F.lit(0)), None
-    for _ in range(ATTEMPTS):
+    for attempt in count_up(1):
         made = todo.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), secret, F.col("attempt")))
         first = F.row_number().over(Window.partitionBy("space", "surrogate").orderBy("kind", "entity"))
         made = made.withColumn("first", first == 1)
@@ -250,9 +294,13 @@ def assign(found: DataFrame, secret: str) -> DataFrame:
         done = good if done is None else done.unionByName(good)
         todo = made.where("not good").select("kind", "entity", "space", (F.col("attempt") + 1).alias("attempt"))
         if todo.isEmpty():
-            return done.drop("space")
+            break
         taken = taken.unionByName(good.select("space", "surrogate"))
-    raise RuntimeError(f"surrogates still collide after {ATTEMPTS} attempts")
+        given = _free(todo, taken, secret) if attempt == NARROW else None
+        if given is not None:
+            done, taken = done.unionByName(given), taken.unionByName(given.select("space", "surrogate"))
+            todo = c.materialise(todo.join(given.select("kind", "entity"), ["kind", "entity"], "left_anti"), "without-value")
+    return done.drop("space")
 
 
 def replace(df: DataFrame, secret: str, text: str = "text", count: str = "n_entities") -> DataFrame:
@@ -260,29 +308,30 @@ def replace(df: DataFrame, secret: str, text: str = "text", count: str = "n_enti
 
     Whole texts are searched. Null and empty texts stay as they are with no entities; equal texts get
     equal results; all columns stay (one named ``count`` is replaced). Texts aren't shuffled, unless an entity
-    that they hold was hashed more than once: then such texts, found by their hash, get the attempts by a join.
+    that they hold was hashed more than once: then such texts, found by their hash, get its surrogate by a join.
     """
-    again = c.materialise(assign(entities(df, text), secret).where("attempt > 0").select(F.concat_ws(":", "kind", "entity").alias("name"), "attempt"), "again")
+    again = c.materialise(assign(entities(df, text), secret).where("attempt > 0").select(F.concat_ws(":", "kind", "entity").alias("name"), "surrogate"), "again")
     n_again = again.count()
     t = F.col(text)
     if n_again == 0:
         return _replaced(df, text, count, secret, None)
-    # attempts by text: only texts that hold an entity with more than one attempt
+    # surrogates by text: only texts that hold an entity with more than one attempt
     holds = df.where(t.rlike(HINT)).select(F.sha2(t, 256).alias("_text"), F.explode(_found(t)).alias("found")).distinct()
     holds = holds.select("_text", F.explode(_parts(F.col("found"))).alias("e")).select("_text", F.concat_ws(":", "e.kind", "e.entity").alias("name")).distinct()
-    wanted = holds.join(c.maybe_broadcast(again, n_again), "name").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("name", "attempt"))).alias("_attempts"))
-    wanted = c.materialise(wanted, "attempts")
+    wanted = holds.join(c.maybe_broadcast(again, n_again), "name").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias("_given"))
+    wanted = c.materialise(wanted, "given")
     joined = df.withColumn("_text", F.sha2(t, 256)).join(c.maybe_broadcast(wanted, wanted.count()), "_text", "left")
-    return _replaced(joined, text, count, secret, F.col("_attempts")).drop("_text", "_attempts")
+    return _replaced(joined, text, count, secret, F.col("_given")).drop("_text", "_given")
 
 
-def _replaced(df: DataFrame, text: str, count: str, secret: str, attempts: Column | None) -> DataFrame:
-    def attempt(kind: Column, entity: Column) -> Column:
-        return F.lit(0) if attempts is None else F.coalesce(attempts[F.concat_ws(":", kind, entity)], F.lit(0))
+def _replaced(df: DataFrame, text: str, count: str, secret: str, given: Column | None) -> DataFrame:
+    def made(kind: Column, entity: Column) -> Column:
+        hashed = surrogate(kind, entity, secret, F.lit(0))
+        return hashed if given is None else F.coalesce(given[F.concat_ws(":", kind, entity)], hashed)
 
     def new(entity: Column) -> Column:
         def named(parts: Column) -> Column:
-            words = F.transform(parts, lambda p: surrogate(p["kind"], p["entity"], secret, attempt(p["kind"], p["entity"])))
+            words = F.transform(parts, lambda p: made(p["kind"], p["entity"]))
             gaps = F.split(_untitled(entity), WORD, -1)
             loud = lambda w: (F.length(w) > 1) & (w == F.upper(w))
             cased = F.zip_with(_words(entity), words, lambda w, x: F.when(loud(w), F.upper(x)).otherwise(F.initcap(x)))
@@ -290,7 +339,7 @@ def _replaced(df: DataFrame, text: str, count: str, secret: str, attempts: Colum
 
         def other(parts: Column) -> Column:
             kind, name = parts[0]["kind"], parts[0]["entity"]
-            return _spelled(kind, entity, surrogate(kind, name, secret, attempt(kind, name)))
+            return _spelled(kind, entity, made(kind, name))
 
         # a bare word is what it was where it has a title
         bare = F.filter("_names", lambda p: p["entity"] == F.lower(entity))

@@ -298,6 +298,20 @@ def test_colliding_surrogates_are_hashed_again(spark):
         assert (new.replace("-", "") if "@" not in e else new) == want[e.replace("-", "") if "@" not in e else e]
 
 
+def test_full_formats_get_free_values_or_longer_forms(spark):
+    full, crowded, mails = [f"+1{i:04}" for i in range(6000)], [f"+2{i:04}" for i in range(4000)], [f"a@b.d{i}" for i in range(400)]
+    df = docs(spark, *[" ".join(["x", *x]) for x in (full, crowded, mails)])
+    table = pii.assign(pii.entities(df), "key").collect()
+    made = {r["surrogate"] for r in table}
+    assert len(made) == len(table) == 10400 and not made & {r["entity"] for r in table}
+    sizes = Counter((r["entity"][0], len(r["surrogate"])) for r in table if r["kind"] == "phone")
+    assert sizes == {("1", 5): 4000, ("1", 17): 2000, ("2", 5): 4000}
+    assert all(regex.fullmatch(r"[a-z]{1,13}@[a-z]\.example", r["surrogate"]) for r in table if r["kind"] == "email")
+    want = {r["entity"]: r["surrogate"] for r in table}
+    out = {r["doc_id"]: r["text"].split()[1:] for r in pii.replace(df, "key").collect()}
+    assert out == {0: ["+" + want[x[1:]] for x in full], 1: ["+" + want[x[1:]] for x in crowded], 2: [want[x] for x in mails]}
+
+
 def test_pii_query_leaves_clean_texts(spark):
     before = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     private = regex.compile(r'[^\s"]+@[\w.-]+\w|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b|\+\d+ \(\d+\) [\d-]+|\b[0-9a-fA-F]{40}\b')
