@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strandloom.llm import _common as c
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Labelled URLs that trees are fitted on, about, at most.
+#: Labelled URLs that trees are fitted on, about, at most: half of them for each label.
 SAMPLE = 20_000
 
 # Words in a host that mark it as unwanted, the seed labels of the production query.
@@ -146,23 +146,34 @@ def with_suffixes(rows: DataFrame, suffixes: DataFrame, base_rate: float) -> Dat
 def fit(labelled: DataFrame, url: str = "url", label: str = "label", sample: int = SAMPLE, trees: int = 10, depth: int = 4) -> Model:
     """Learn from URLs with a 0/1 ``label``; rows with a null in either are left out.
 
-    Suffix statistics cover all labelled rows. The trees are fitted on about ``sample`` rows at most, drawn by a
-    hash of the URL. A label that is the same everywhere gives trees that always answer it.
+    Suffix statistics cover all labelled rows. The trees are fitted on about ``sample`` distinct URLs at most, drawn by a
+    hash of the URL: about half for each label, or all that a label has. A URL weighs as many rows as it has under its label, divided by
+    the part of the label's URLs that were drawn, so that labels and repeats count as in all rows.
+    A label that is the same everywhere gives its rate as every score.
     """
     rows = features(labelled.select(F.col(url).alias("url"), F.col(label).cast("double").alias("label")).where("url is not null and label is not null"))
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.avg("label"), F.lit(0.0)).alias("rate")).first()
     suffixes = c.materialise(suffix_statistics(rows), "url-suffixes")
-    steps = 1 << 30
+    distinct = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.approx_count_distinct("url", 0.01).alias("n")).collect()}
+    if len(distinct) < 2:
+        return Model(None, suffixes, size["rate"])
+    # a label with fewer URLs than its half leaves its room to the other
+    least = min(distinct.values())
+    room = max(sample // 2, sample - least)
+    share = {y: min(1.0, (room if n > least else sample // 2) / n) for y, n in distinct.items()}
+    steps = 1 << 40
     place = F.pmod(F.xxhash64(F.lit("url-sample"), F.col("url")), F.lit(steps))
-    drawn = rows.where(place < F.lit(int(steps * min(1.0, sample / max(1, size["n"])))))
+    of_label = lambda values: F.create_map(*[F.lit(float(x)) for pair in values.items() for x in pair])[F.col("label")]
+    drawn = rows.where(place < of_label({y: steps if part == 1.0 else int(steps * part) for y, part in share.items()}))
+    kept = [x for x in drawn.columns if x not in ("url", "label")]
+    drawn = drawn.groupBy("url", "label").agg(F.count("*").alias("_rows"), *[F.first(x).alias(x) for x in kept])
+    drawn = drawn.withColumn("_weight", F.col("_rows") / of_label(share))
     drawn = with_suffixes(drawn, suffixes, size["rate"])
-    drawn = c.materialise(drawn.select("label", *LEXICAL, *SUFFIX), "url-sample")
+    drawn = c.materialise(drawn.select("label", "_weight", *LEXICAL, *SUFFIX), "url-sample")
     columns = [*LEXICAL, *SUFFIX]
-    if drawn.select("label").distinct().count() < 2:
-        return Model(None, suffixes, size["rate"])
     stages = [
         VectorAssembler(inputCols=columns, outputCol="_features"),
-        GBTClassifier(featuresCol="_features", labelCol="label", maxIter=trees, maxDepth=depth, seed=11),
+        GBTClassifier(featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=trees, maxDepth=depth, seed=11),
     ]
     return Model(Pipeline(stages=stages).fit(drawn), suffixes, size["rate"])
 

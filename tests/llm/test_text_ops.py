@@ -69,6 +69,16 @@ def test_url_trees_learn(spark):
     assert right / len(got) > 0.97
 
 
+def test_url_trees_learn_a_rare_label(spark):
+    rare = F.col("id") % 2000 == 7
+    host = F.when(rare, F.concat(F.lit("www.casino"), F.col("id"), F.lit("-win.bad.example"))).otherwise(F.concat(F.lit("site"), F.col("id"), F.lit(".org")))
+    df = spark.range(40000).select(F.concat(F.lit("https://"), host, F.lit("/a")).alias("url"), rare.cast("int").alias("label"))
+    often = spark.range(20000).select(F.lit("https://often.org/").alias("url"), F.lit(0).alias("label"))
+    model = url_filter.fit(df.unionByName(often), sample=400)
+    got = url_filter.judge(df, (), model).groupBy("label", "verdict").count().collect()
+    assert model.trees is not None and {(r["label"], r["verdict"]) for r in got} == {(1, "block"), (0, "allow")}
+
+
 def test_url_query(spark):
     got = {r["page_id"]: r for r in entries.op1_url_filter(spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect():
