@@ -3,7 +3,8 @@
 A page becomes lines, one for each block of text, with the text-to-tag ratio of each. The ratios are
 smoothed with a Gaussian, lines above a threshold are seeds, and the regions (the innermost
 sectioning elements, or the whole article) that hold a seed are content. Menus, forms, adverts
-and the like, known by their elements, roles and class names, are never content.
+and the like, known by their elements and roles, are never content. What only a class name, an id or <form> marks
+isn't either, unless the page's article or most of its text is in there.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Elements by their role in a page, as in the HTML standard.
-DROPPED = set("nav header footer aside form script style noscript template button select svg iframe object canvas dialog head title menu".split())
+DROPPED = set("nav header footer aside script style noscript template button select svg iframe object canvas dialog head title menu".split())
 ARTICLE = {"article", "main"}
-SECTIONS = set("html body div section article main ul ol dl table tbody tr td th blockquote figure details fieldset center".split()) | DROPPED
+#: Dropped as by a class name.
+MARKED = {"form"}
+SECTIONS = set("html body div section article main ul ol dl table tbody tr td th blockquote figure details fieldset center".split()) | DROPPED | MARKED
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "dialog", "alert", "form"}
@@ -45,6 +48,8 @@ class Line:
     region: int
     inside: bool
     dropped: bool
+    #: The innermost marked element around the line, or 0.
+    mark: int = 0
     parts: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
@@ -56,19 +61,21 @@ class Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        #: Open elements: name, region, whether in an article, whether dropped.
-        self.open: list[tuple[str, int, bool, bool]] = []
+        #: Open elements: name, region, whether in an article, whether dropped, innermost marked element.
+        self.open: list[tuple[str, int, bool, bool, int]] = []
+        #: For each marked element the one around it; 0 is the page.
+        self.marks = [0]
         self.regions = 0
         self.links = 0
         self._line()
 
     def _line(self) -> None:
-        _, region, inside, dropped = self.open[-1] if self.open else ("", 0, False, False)
+        _, region, inside, dropped, mark = self.open[-1] if self.open else ("", 0, False, False, 0)
         last = self.lines[-1] if self.lines else None
         if last is not None and not last.parts:
-            last.region, last.inside, last.dropped = region, inside, dropped
+            last.region, last.inside, last.dropped, last.mark = region, inside, dropped, mark
         else:
-            self.lines.append(Line(region, inside, dropped))
+            self.lines.append(Line(region, inside, dropped, mark))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in INLINE:
@@ -76,12 +83,16 @@ class Blocks(HTMLParser):
             self.links += tag == "a"
             return
         if tag in SECTIONS and tag not in VOID:
-            _, region, inside, dropped = self.open[-1] if self.open else ("", 0, False, False)
-            dropped = dropped or tag in DROPPED or self._unwanted(tag, attrs)
-            if not (inside and not dropped):
+            _, region, inside, dropped, mark = self.open[-1] if self.open else ("", 0, False, False, 0)
+            dropped = dropped or tag in DROPPED or self._unwanted(attrs)
+            marked = not dropped and (tag in MARKED or self._marked(tag, attrs))
+            if marked:
+                self.marks.append(mark)
+                mark = len(self.marks) - 1
+            if not inside or dropped or marked:
                 self.regions += 1
                 region = self.regions
-            self.open.append((tag, region, inside or (tag in ARTICLE and not dropped), dropped))
+            self.open.append((tag, region, inside or (tag in ARTICLE and not dropped and not marked), dropped, mark))
         self._line()
         self.lines[-1].tags += 1
 
@@ -109,21 +120,72 @@ class Blocks(HTMLParser):
             line.linked += len(data)
 
     @staticmethod
-    def _unwanted(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _unwanted(attrs: list[tuple[str, str | None]]) -> bool:
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             if name == "role" and (value or "").lower() in ROLES:
                 return True
+            if name == "style" and re.search(r"display\s*:\s*none", value or "", re.I):
+                return True
+        return False
+
+    @staticmethod
+    def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        for name, value in attrs:
             if name in ("class", "id") and tag not in ("html", "body", "main"):
                 words = set(re.split(r"[^a-z]+", (value or "").lower()))
                 if words & (COMMENT_WORDS if tag == "article" else OTHER_WORDS):
                     return True
-            if name == "style" and re.search(r"display\s*:\s*none", value or "", re.I):
-                return True
         return False
 
 
+def drop_marked(lines: list[Line], sizes: list[int], marks: list[int]) -> None:
+    """Set ``dropped`` for the lines in marked elements, but for those elements that the content is in.
+
+    While no article is left outside of marked elements: of those that hold article text, if any, the one with most of it is no
+    longer marked; on a page without article text, the one with more than half of the text, or with the most if no other is left.
+    An element that is mostly links stays marked. Of elements of equal text the outermost comes first.
+    """
+    live = [i for i, x in enumerate(lines) if not x.dropped]
+    inside = any(lines[i].inside for i in live)
+    freed = {0}
+
+    def around(mark: int) -> list[int]:
+        out = []
+        while mark:
+            if mark not in freed:
+                out.append(mark)
+            mark = marks[mark]
+        return out
+
+    for _ in marks:
+        text = [0] * len(marks)
+        article, linked = text[:], text[:]
+        total = outside = 0
+        found = False
+        for i in live:
+            x, n = lines[i], sizes[i]
+            held = around(x.mark)
+            total += n
+            outside += 0 if held else n
+            found = found or (x.inside and not held)
+            for m in held:
+                text[m] += n
+                article[m] += n * x.inside
+                linked[m] += x.linked
+        if found:
+            break
+        value = article if inside else text
+        usable = [m for m in range(1, len(marks)) if value[m] and linked[m] <= LINKED * text[m]]
+        best = max(usable, key=lambda m: (value[m], text[m], -m), default=0)
+        if not best or (not inside and outside and 2 * text[best] <= total):
+            break
+        freed.add(best)
+    for i in live:
+        lines[i].dropped = bool(around(lines[i].mark))
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """``ratios`` smoothed with a Gaussian that is cut off at REACH lines."""
     kernel = np.exp(-0.5 * (np.arange(-REACH, REACH + 1) / SIGMA) ** 2)
@@ -146,6 +208,7 @@ def extract(html: str | None) -> str:
             lines.append(line)
     if not lines:
         return ""
+    drop_marked(lines, list(map(len, texts)), parser.marks)
     in_article = any(x.inside and not x.dropped for x in lines)
     candidate = [not x.dropped and (x.inside or not in_article) for x in lines]
     if not any(candidate):

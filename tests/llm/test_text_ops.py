@@ -210,6 +210,19 @@ def test_html_by_hand(html, want):
     assert html_extract.extract(html) == want
 
 
+@pytest.mark.parametrize("wrapper", ['div id="page" class="has-sidebar"', 'div class="no-sidebar"', 'div class="with-header"', 'section class="social-news"', "form"])
+def test_html_keeps_content_in_marked_elements(wrapper):
+    tag = wrapper.split()[0]
+    article = "<article><h1>T</h1><p>The whole story of this page.</p><div class=ad>Buy this now!</div><form>Name</form></article>"
+    teasers = "<div class=related><article><p>Another story, which is longer than the whole story of this page.</p></article></div>"
+    assert html_extract.extract(f"<body><{wrapper}>{article}{teasers}</{tag}></body>") == "T The whole story of this page."
+    assert html_extract.extract(f"<body>{article}{teasers}</body>") == "T The whole story of this page."
+    plain = "<p>A long paragraph of many words, long enough.</p><p>And another one.</p>"
+    assert html_extract.extract(f"<body><{wrapper}><div>{plain}</div><div class=ad>Buy!</div></{tag}><p>End</p></body>").startswith("A long paragraph of many words, long enough. And another one.")
+    assert html_extract.extract(f"<{wrapper}>Only text</{tag}>") == "Only text"
+    assert html_extract.extract(f"<{wrapper}><a>Only</a> <a>links</a></{tag}>") == ""
+
+
 def test_html_query(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>x</p></article>", "t"), (None, None, None, "t"), (1, "u", "<article><p>x</p></article>", "t")], "page_id bigint, url string, html string, text string")
     assert sorted((r["text"], r["n_chars"]) for r in html_extract.main_text(df).collect()) == [("", 0), ("x", 1), ("x", 1)]
