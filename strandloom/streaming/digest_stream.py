@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +10,7 @@ from strandloom.config import DigestConfig
 from strandloom.operators.cut import digest_cuts
 from strandloom.operators.pairs import pair
 from strandloom.operators.stats import DIGEST, as_metrics, counters
+from strandloom.scratch import scratch
 from strandloom.sources.derived import reads_from
 
 
@@ -22,18 +20,13 @@ def stream_pairs(reads: DataFrame, config: DigestConfig, path: str, checkpoint:
     return pairs.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _shared(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def streamed_stats(spark: SparkSession, path: str, config: DigestConfig) -> DataFrame:
     """Counters of a digest over the files that ``path`` has now, read as a stream.
 
     Each micro-batch's counters go to a folder of their own, so a batch that runs again replaces its own;
     the result sums them.
     """
-    base = _shared(spark)
+    base = scratch(spark, "stream")
     # a pattern, as a stream reads folders or patterns, and a table may be a single file
     docs = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 64).parquet(path.replace(".parquet", "[.]parquet"))
     reads = reads_from(docs.select("doc_id", "text"))
