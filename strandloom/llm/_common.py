@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import cache
+from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 from pyspark.sql.window import Window
 
+from strandloom.scratch import scratch
+
 #: The words of the contracts are runs of anything but these ASCII characters.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
-#: Above so many rows a side is joined by shuffle, not broadcast.
-BROADCAST_ROWS = 500_000
+#: A side of more bytes is joined by shuffle, not broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,21 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that all executors share.
-
-    That is ``spark.checkpoint.dir``. Where it is unset, as in tests on one machine, a temporary
-    folder of this process takes its place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-@cache
-def _own_folder() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='spark-')}"
-
-
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there."""
     path = scratch(df.sparkSession, what)
@@ -43,9 +33,35 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted ``rows`` are within the bound, else as it is."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def size_of(df: DataFrame) -> int:
+    """Bytes of the values of ``df``, measured by one pass: 16 for a fixed-width value, and what strings and arrays hold."""
+
+    def width(column: Column, kind) -> Column:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.lit(16) + F.coalesce(F.octet_length(column), F.lit(0))
+        if isinstance(kind, (ArrayType, MapType, StructType)):
+            return F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        return F.lit(16)
+
+    each = reduce(lambda a, b: a + b, [width(F.col(f.name), f.dataType) for f in df.schema])
+    return df.agg(F.coalesce(F.sum(each.cast("bigint")), F.lit(0))).first()[0]
+
+
+def maybe_broadcast(df: DataFrame) -> DataFrame:
+    """``df``, a table at rest, with a broadcast hint if its measured size is within the bound, else as it is."""
+    return F.broadcast(df) if size_of(df) <= BROADCAST_BYTES else df
+
+
+def small_parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose texts in ``column`` have about ``size`` bytes in all; a longer text is a slice of its own."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(lengths) // size
+    ends = [*(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+    start = 0
+    for end in ends:
+        if end > start:
+            yield batch.slice(start, end - start)
+        start = end
 
 
 def ordered_parts(df: DataFrame, key: str, what: str) -> DataFrame:
@@ -71,7 +87,7 @@ def running_start(parts: DataFrame, key: str, amount: str, tie: list[str], start
         before += row["total"] or 0
     offset = spark.createDataFrame(offsets, "part int, part_start bigint")
     w = Window.partitionBy("part").orderBy(F.col(key).asc_nulls_first(), *tie).rowsBetween(Window.unboundedPreceding, -1)
-    out = parts.join(maybe_broadcast(offset, len(offsets)), "part")
+    out = parts.join(maybe_broadcast(offset), "part")
     return out.withColumn(start, F.col("part_start") + F.coalesce(F.sum(amount).over(w), F.lit(0))).drop("part_start")
 
 

@@ -135,7 +135,7 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     # the first of a range follows the last of the range above; the very first follows the very last
     follows = [(tops[i - 1][1], tops[i][0]) for i in range(len(tops))]
     also = df.sparkSession.createDataFrame(follows, "order bigint, also int")
-    sent = rows.join(c.maybe_broadcast(also, len(follows)), "order", "left")
+    sent = rows.join(c.maybe_broadcast(also), "order", "left")
     sent = sent.select("order", "k", "text", F.explode(F.array(F.struct(F.lit(0).alias("guest"), "bucket"), F.struct(F.lit(1).alias("guest"), F.col("also").alias("bucket")))).alias("to"))
     sent = sent.select("order", "k", "text", "to.guest", "to.bucket").where("bucket is not null").repartition("bucket")
     sent = sent.withColumn("own", signatures(F.col("text")))

@@ -172,7 +172,7 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_
         "y string, klass int, drawn bigint, learn bigint",
     )
     place = F.pmod(F.xxhash64(F.lit("language-sample"), F.col("k").cast("string")), F.lit(steps))
-    drawn = rows.withColumn("place", place).join(c.maybe_broadcast(share, len(languages)), "y").where("place < drawn")
+    drawn = rows.withColumn("place", place).join(c.maybe_broadcast(share), "y").where("place < drawn")
     drawn = c.materialise(drawn.select("t", "klass", "place", (F.col("place") < F.col("learn")).alias("learns"), F.pmod("place", F.lit(SHARDS)).alias("shard")), "language-sample")
     n_classes = len(languages)
 

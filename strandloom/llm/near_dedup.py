@@ -3,13 +3,15 @@
 Banding with L tables of k hashes each needs L*k minhashes. Tensoring makes two small collections of
 m groups of k/2 hashes and forms m*m table keys from pairs of groups, one of each: 2*m*k/2 minhashes
 for m*m tables, about the square root of the work. Documents that share a key are candidates. Links
-among them are confirmed on the whole sets of shingles, in two steps that emit no group's pairs:
+among them are confirmed on the whole sets of shingles, in steps that emit no group's pairs:
 
-1. in every bucket, each set against the bucket's smallest one;
-2. after that, only sets of one bucket that are not connected yet, and only where a bit map of each set
-   leaves room for the similarity: differing bits bound the differing shingles from below.
+1. PIVOTS times, every bucket compares one of its sets, its pivot, with all others; the pivot has then met all of
+   its bucket and leaves it, and a bucket whose sets are all connected is closed;
+2. sets of buckets that are open after that meet where they share one of their rarest shingles. Sets that are
+   similar enough do (prefix filtering), so this is exact however large a bucket is. Only pairs that would join two
+   components come out, and only where lengths, places and bit maps of the two sets leave room for the similarity.
 
-Both steps lose no link between candidates that would join two components.
+All steps lose no link between candidates that would join two components.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandloom.llm import _common as c
 
@@ -30,6 +33,10 @@ from strandloom.llm import _common as c
 GROUPS, ROWS = 12, 3
 #: Longs in the bit map of a set.
 MAP_LONGS = 16
+#: Rounds in which each open bucket compares one set with all others.
+PIVOTS = 2
+#: Texts of about so many characters are turned into arrays of shingles at once.
+TEXTS_AT_ONCE = 1 << 21
 
 _SEED = np.random.default_rng(20_240_001)
 _MULTIPLIERS = _SEED.integers(1, 2**63, 2 * GROUPS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,28 +112,32 @@ def sketches(df: DataFrame, words: int, key: str, text: str) -> DataFrame:
     return df.select(key, text).mapInArrow(sketch, schema)
 
 
-def _whole_sets(df: DataFrame, wanted: DataFrame, n_wanted: int, words: int, key: str, text: str) -> DataFrame:
-    """(node, own): the whole shingle sets of the wanted nodes, worked out again from their texts."""
+def _whole_sets(df: DataFrame, wanted: DataFrame, words: int, key: str, text: str) -> DataFrame:
+    """(node, set_key, own): the whole shingle sets of the wanted nodes, worked out again from their texts."""
     kind = df.schema[key].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingles(t.as_py(), words).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "own"])
+            for part in c.small_parts(batch, 1, TEXTS_AT_ONCE):
+                own = [shingles(t.as_py(), words).view(np.int64) for t in part.column(1)]
+                keys = [xxhash.xxh3_128_digest(x.tobytes()) for x in own]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), pa.array(own, pa.list_(pa.int64()))], names=["node", "set_key", "own"])
 
     docs = df.select(F.col(key).alias("node"), F.col(text).alias("text"))
-    docs = docs.join(c.maybe_broadcast(wanted.select("node"), n_wanted), "node", "left_semi")
-    return docs.mapInArrow(sets, f"node {kind}, own array<bigint>")
+    return docs.join(c.maybe_broadcast(wanted), "node", "left_semi").mapInArrow(sets, f"node {kind}, set_key binary, own array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets have 100 * intersection >= percent * union."""
+    """Those of ``pairs`` whose whole sets have 100 * intersection >= percent * union.
+
+    The set of ``b`` comes first and moves to where that of ``a`` is, so a pivot ``a`` of many pairs is read there, not sent with each.
+    """
     left = sets.select(F.col("node").alias("a"), F.col("own").alias("own_a"))
     right = sets.select(F.col("node").alias("b"), F.col("own").alias("own_b"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("own_a", "own_b"))
-    counted = both.select("a", "b", common.alias("common"), (F.size("own_a") + F.size("own_b")).alias("total"))
-    return counted.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
+    counted = both.select(*pairs.columns, common.alias("common"), (F.size("own_a") + F.size("own_b")).alias("total"))
+    return counted.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select(*pairs.columns)
 
 
 def _differing_bits(a: str, b: str) -> Column:
@@ -148,14 +159,71 @@ def buckets(reps: DataFrame) -> DataFrame:
     return mine.select("node", F.explode(keys).alias("bucket"))
 
 
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select(*[F.col(x).alias(f"{x}_{side}") for x in rows.columns])
+
+
+def _can_link(percent: int) -> Column:
+    """Whether components differ, and lengths and bit maps of two sides leave room for the similarity."""
+    # similarity >= percent/100 means: differing shingles * (100 + percent) <= total * (100 - percent)
+    room = (100 + percent) * _differing_bits("bits_a", "bits_b") <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    return (F.col("component_a") != F.col("component_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & room
+
+
+def _joined(info: DataFrame, links: DataFrame) -> DataFrame:
+    """``info`` with the components that ``links`` (component_a, component_b) connect made one."""
+    merged = c.components(links.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("last"))
+    out = info.join(merged, "component", "left").withColumn("component", F.coalesce("last", "component")).drop("last")
+    return c.materialise(out.select(*info.columns), "components")
+
+
+def _open(active: DataFrame, info: DataFrame) -> DataFrame:
+    """The rows (bucket, node) of buckets with more than one component."""
+    at = active.join(info.select("node", "component"), "node")
+    several = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    return c.materialise(active.join(several, "bucket", "left_semi").select("bucket", "node"), "open")
+
+
+def _pivot_links(active: DataFrame, pivots: DataFrame, info: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the pivot of each bucket and its other sets, where they would join two components."""
+    pairs = active.join(pivots, "bucket").where("node <> pivot").select(F.col("pivot").alias("node_a"), F.col("node").alias("node_b")).distinct()
+    near = pairs.join(_side(info, "a"), "node_a").join(_side(info, "b"), "node_b").where(_can_link(percent))
+    near = c.materialise(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "component_a", "component_b").distinct(), "pairs")
+    return c.materialise(_confirmed(near, sets, percent), "links")
+
+
+def _rare_links(active: DataFrame, info: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between any two sets of ``active``, where they would join two components.
+
+    Of n shingles in the order of how few of these sets hold them, two sets that are similar enough share one of their
+    first n - ceil(percent/100 * n) + 1; those that one set alone holds need no row.
+    """
+    own = sets.join(active.select("node").distinct(), "node", "left_semi")
+    each = c.materialise(own.select("node", "set_key", F.explode("own").alias("shingle")), "shingles")
+    held = each.groupBy("shingle").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("node", "set_key").orderBy("held", "shingle")
+    ranked = each.join(held, "shingle").withColumn("place", F.row_number().over(order)).where("held > 1")
+    rare = ranked.join(info, ["node", "set_key"]).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    rare = c.materialise(rare.select("shingle", "place", "node", "n", "bits", "component"), "rare")
+    several = rare.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle")
+    rare = c.materialise(rare.join(several, "shingle", "left_semi"), "rare")
+    a, b = (_side(rare, x).withColumnRenamed(f"shingle_{x}", "shingle") for x in "ab")
+    # what both can share: all before the places at most, this one, and what is left of either
+    most = F.least("place_a", "place_b") + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    fits = (F.col("component_a") < F.col("component_b")) & _can_link(percent) & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+    near = a.join(b, "shingle").where(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "component_a", "component_b").distinct()
+    return c.materialise(_confirmed(c.materialise(near, "pairs"), sets, percent), "links")
+
+
 def link(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``df``: the key, n_shingles, component_id, kept.
 
     Documents whose sets of distinct ``words``-word shingles have 100 * intersection >= ``percent`` * union are
     linked; ``component_id`` is the smallest key that links lead to, ``kept`` whether it is the own one.
     Texts without words and null texts have no shingles and are linked with nothing. Rows with
-    the same key are one document. Rows with a null key stay alone: their component is null and they are
-    kept. Other columns of ``df`` are left out. Equal sets are brought together first, by a
+    the same key are one document: it is linked with what any of its texts is. Rows with a null key stay alone: their
+    component is null and they are kept. Other columns of ``df`` are left out. Equal sets are brought together first, by a
     grouping with a partial step, so thousands of copies cost one row for each task.
     """
     sketch = c.materialise(sketches(df, words, key, text), "sketch")
@@ -165,40 +233,29 @@ def link(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id",
         "sets",
     )
     rows = c.materialise(buckets(reps), "buckets")
-    pivots = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a")
-    stars = rows.join(pivots, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    stars = c.materialise(stars, "stars")
-    wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    wanted = c.materialise(wanted, "wanted")
-    sets = c.materialise(_whole_sets(df, wanted, wanted.count(), words, key, text), "whole-sets")
-    sure = c.materialise(_confirmed(stars, sets, percent), "links")
-    first = c.components(sure)
-
-    known = reps.select("node", "n", "bits").join(wanted, "node", "left_semi").join(first, "node", "left")
-    known = c.materialise(known.withColumn("component", F.coalesce("component", "node")), "known")
-    at = rows.join(known, "node")
-    open_buckets = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    at = c.materialise(at.join(open_buckets, "bucket", "left_semi"), "open")
-    one, two = (at.select("bucket", *[F.col(k).alias(k + s) for k in ("node", "n", "bits", "component")]) for s in ("_a", "_b"))
-    total = F.col("n_a") + F.col("n_b")
-    # similarity >= percent/100 means: differing shingles * (100 + percent) <= total * (100 - percent)
-    rest = (
-        one.join(two, "bucket")
-        .where((F.col("component_a") < F.col("component_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-        .where((100 + percent) * _differing_bits("bits_a", "bits_b") <= (100 - percent) * total)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-    )
-    more = _confirmed(c.materialise(rest, "rest"), sets, percent)
-    a, b = (first.select(F.col("node").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
-    more = more.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    second = c.components(more).select(F.col("node").alias("component"), F.col("component").alias("last"))
-    # rows of the same key with different texts hold together what either is linked with
-    final = known.select("node", "component").join(second, "component", "left").select("node", F.coalesce("last", "component").alias("component_id"))
-
-    classes = reps.join(final, "node", "left").select("set_key", F.coalesce("component_id", "node").alias("class_id"))
-    moved = c.materialise(real.select("node", "set_key").join(classes, "set_key").where("class_id <> node").groupBy("node").agg(F.min("class_id").alias("class_id")), "moved")
-    out = sketch.select("node", "n_shingles").join(moved, "node", "left").select(
+    pivots = rows.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("bucket", "pivot")
+    active = c.materialise(rows.join(pivots.select("bucket"), "bucket", "left_semi"), "active")
+    wanted = c.materialise(active.select("node").distinct(), "wanted")
+    sets = c.materialise(_whole_sets(df, wanted, words, key, text), "whole-sets")
+    info = reps.select("node", "set_key", "n", "bits").join(wanted, "node", "left_semi").withColumn("component", F.col("node"))
+    info = c.materialise(info, "components")
+    for _ in range(PIVOTS):
+        info = _joined(info, _pivot_links(active, pivots, info, sets, percent))
+        active = _open(active.join(pivots, "bucket").where("node <> pivot"), info)
+        # later pivots are drawn anew in each bucket, so a family that shares many buckets meets many of them
+        pivots = active.groupBy("bucket").agg(F.min_by("node", F.xxhash64("bucket", "node")).alias("pivot"))
+    info = _joined(info, _rare_links(active, info, sets, percent))
+
+    found = info.select("node", "component").distinct()
+    classes = reps.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("class_id"))
+    placed = c.materialise(real.select("node", "set_key").join(classes, "set_key").where("class_id <> node").select("node", "class_id").distinct(), "placed")
+    # a key with several texts holds together the classes of all of them
+    several = real.groupBy("node").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y").select("node")
+    joints = real.join(several, "node", "left_semi").join(classes, "set_key").select(F.col("node").alias("a"), F.col("class_id").alias("b"))
+    merged = c.components(joints).select(F.col("node").alias("class_id"), F.col("component").alias("last"))
+    moved = placed.join(merged, "class_id", "left").select("node", F.coalesce("last", "class_id").alias("class_id"))
+    moved = moved.unionByName(merged.select(F.col("class_id").alias("node"), F.col("last").alias("class_id"))).groupBy("node").agg(F.min("class_id").alias("class_id"))
+    out = sketch.select("node", "n_shingles").join(c.materialise(moved, "moved"), "node", "left").select(
         F.col("node").alias(key), "n_shingles", F.coalesce("class_id", "node").alias("component_id")
     )
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))

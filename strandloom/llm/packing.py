@@ -257,7 +257,7 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = 20
     ranked = staged.withColumn("own", F.row_number().over(own) - 1).join(base, ["length", "slot"]).withColumn("rank", F.col("before") + F.col("own"))
     where = spark.createDataFrame(rows, "size bigint, first bigint, each bigint, past bigint, sequence bigint, at bigint")
     placed = ranked.join(
-        c.maybe_broadcast(where, len(rows)),
+        c.maybe_broadcast(where),
         (F.col("length") == F.col("size")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("past")),
     )
     nth = F.col("rank") - F.col("first")

@@ -318,9 +318,9 @@ def replace(df: DataFrame, secret: str, text: str = "text", count: str = "n_enti
     # surrogates by text: only texts that hold an entity with more than one attempt
     holds = df.where(t.rlike(HINT)).select(F.sha2(t, 256).alias("_text"), F.explode(_found(t)).alias("found")).distinct()
     holds = holds.select("_text", F.explode(_parts(F.col("found"))).alias("e")).select("_text", F.concat_ws(":", "e.kind", "e.entity").alias("name")).distinct()
-    wanted = holds.join(c.maybe_broadcast(again, n_again), "name").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias("_given"))
+    wanted = holds.join(c.maybe_broadcast(again), "name").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias("_given"))
     wanted = c.materialise(wanted, "given")
-    joined = df.withColumn("_text", F.sha2(t, 256)).join(c.maybe_broadcast(wanted, wanted.count()), "_text", "left")
+    joined = df.withColumn("_text", F.sha2(t, 256)).join(c.maybe_broadcast(wanted), "_text", "left")
     return _replaced(joined, text, count, secret, F.col("_given")).drop("_text", "_given")
 
 

@@ -133,10 +133,10 @@ def suffix_statistics(rows: DataFrame, label: str = "label") -> DataFrame:
 
 def with_suffixes(rows: DataFrame, suffixes: DataFrame, base_rate: float) -> DataFrame:
     """Add the share of blocked URLs, smoothed towards the base rate, and the log count of each suffix."""
-    n_suffixes = suffixes.count()
+    small = c.size_of(suffixes) <= c.BROADCAST_BYTES
     for k in (1, 2, 3):
         s = suffixes.select(F.col("suffix").alias(f"suffix{k}"), F.col("n").alias("_n"), F.col("blocked").alias("_b"))
-        rows = rows.join(c.maybe_broadcast(s, n_suffixes), f"suffix{k}", "left")
+        rows = rows.join(F.broadcast(s) if small else s, f"suffix{k}", "left")
         n, b = F.coalesce("_n", F.lit(0)), F.coalesce("_b", F.lit(0))
         rate = (b + F.lit(base_rate * 5)) / (n + F.lit(5.0))
         rows = rows.withColumns({f"suffix{k}_rate": rate.cast("double"), f"suffix{k}_log_count": F.log1p(n.cast("double"))}).drop("_n", "_b")

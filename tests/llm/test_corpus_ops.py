@@ -78,6 +78,33 @@ def test_dedup_nulls_and_empty_tables(spark):
     assert near_dedup.link(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_dedup_rows_of_one_key_are_one_document(spark):
+    a, b, c = ("one two three four five", "six seven eight nine ten", "red green blue white black")
+    rows = [(1, a), (5, a), (5, b), (7, b), (8, c), (9, b + " more"), (9, c), (11, "x y z"), (12, "x y z"), (12, a + " q")]
+    got = near_dedup.link(spark.createDataFrame(rows, "doc_id bigint, text string"), words=3, percent=60)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {1: 1, 5: 1, 7: 1, 9: 1, 8: 1, 12: 1, 11: 1}
+    got = near_dedup.link(spark.createDataFrame(rows[:4], "doc_id bigint, text string"), words=3, percent=85)
+    assert {r["component_id"] for r in got.collect()} == {1}
+
+
+@pytest.mark.parametrize("pivots", [0, 2])
+def test_dedup_of_a_large_family(spark, monkeypatch, pivots):
+    """Near copies of one text on both sides of the threshold, so that many buckets stay open."""
+    monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+    rng = random.Random(11)
+    own = [f"w{rng.randint(0, 900)}" for _ in range(110)]
+    texts = {}
+    for i in range(400):
+        t = list(own)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            t[rng.randrange(len(t))] = f"e{rng.randint(0, 9)}"
+        texts[1000 - i] = " ".join(t)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.link(df, words=3, percent=85).collect()}
+    want = components(texts, 3, 85)
+    assert got == want and len({c for _, c in want.values()}) > 30
+
+
 def test_dedup_query(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in entries.op5_minhash_dedup(spark, SF).collect()}
