@@ -189,7 +189,7 @@ def _pivot_links(active: DataFrame, pivots: DataFrame, info: DataFrame, sets: Da
     """Links between the pivot of each bucket and its other sets, where they would join two components."""
     pairs = active.join(pivots, "bucket").where("node <> pivot").select(F.col("pivot").alias("node_a"), F.col("node").alias("node_b")).distinct()
     near = pairs.join(_side(info, "a"), "node_a").join(_side(info, "b"), "node_b").where(_can_link(percent))
-    near = c.materialise(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "component_a", "component_b").distinct(), "pairs")
+    near = near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "component_a", "component_b").distinct()
     return c.materialise(_confirmed(near, sets, percent), "links")
 
 
@@ -242,8 +242,8 @@ def link(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id",
     for _ in range(PIVOTS):
         info = _joined(info, _pivot_links(active, pivots, info, sets, percent))
         active = _open(active.join(pivots, "bucket").where("node <> pivot"), info)
-        # later pivots are drawn anew in each bucket, so a family that shares many buckets meets many of them
-        pivots = active.groupBy("bucket").agg(F.min_by("node", F.xxhash64("bucket", "node")).alias("pivot"))
+        # the smallest again: a family that shares many buckets has one pivot in most of them, so few pairs are told apart
+        pivots = active.groupBy("bucket").agg(F.min("node").alias("pivot"))
     info = _joined(info, _rare_links(active, info, sets, percent))
 
     found = info.select("node", "component").distinct()
