@@ -1,55 +1,95 @@
-"""Token ids of whole texts in an executor's Python worker."""
+"""Token ids of whole texts in an executor's Python worker, a batch at a time."""
 
 from __future__ import annotations
 
 import json
-import re
-import struct
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
 #: Texts of these characters only: each stays as it is under NFC, is lower-cased alone, and of them
 #: just the six ASCII ones are white space. Then a word between them has the same ids in any text.
-NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa1-įı-ſ]")
-#: Words and pieces kept at most, for each worker process (about 130 MB); later ones are worked out each time.
-KEPT = 600_000
-
-
-class _Known(dict[str, bytes]):
-    """The ids of words, and of the pieces of words that have several; others are made when asked for."""
-
-    def __init__(self, encoder: WordEncoder):
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> bytes:
-        pieces = self.encoder._cut(word)
-        out = self.encoder._piece(word) if pieces == [word] else b"".join([self[p] for p in pieces])
-        if len(self) < KEPT:
-            self[word] = out
-        return out
+PLAIN = "\\t-\\r\\x20-\\x7e\\x{a1}-\\x{12f}\\x{131}-\\x{17f}"
+#: Bytes of words and ids that a worker process keeps at most; beyond it, those that were met once are let go.
+KEPT_BYTES = 32 << 20
+#: Bytes of text that are worked on at once, about; a longer text is worked on alone.
+AT_ONCE = 8 << 20
+#: Pieces that the library gets at once, and marks at the end of a word that may be cut off.
+TOGETHER, MARKS = 1000, 8
+#: By byte: the ASCII marks but the apostrophe, which can be part of a piece with letters; ASCII letters and digits.
+IS_MARK = np.array([33 <= i < 127 and not chr(i).isalnum() and i != 39 for i in range(256)])
+IS_WORD = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` at places ``at``, one after another, and the length of each."""
+    own = counts[at]
+    ends = np.cumsum(own)
+    place = np.repeat(starts[at] - (ends - own), own)
+    place += np.arange(len(place))
+    return ids[place], own
+
+
+def by_list(lists: pa.ListArray, counts: np.ndarray) -> np.ndarray:
+    """The sum of ``counts``, one for each value, in each list."""
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return np.diff(ends[offsets - offsets[0]])
+
+
+def in_two(words: pa.Array) -> pa.Array:
+    """Each word as two strings over the same bytes: the marks at its end are the second, if a letter or digit is before them.
+
+    Then the marks are a piece by themselves. Up to MARKS ASCII marks count; the second string is often empty.
+    """
+    _, places, data = words.buffers()
+    n = len(words)
+    ends = np.frombuffer(places, np.int32)[words.offset : words.offset + n + 1].astype(np.int64)
+    data = np.concatenate([np.zeros(2, np.uint8), np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)])
+    start, cut = ends[:-1], ends[1:].copy()
+    live = np.arange(n)
+    for _ in range(MARKS):
+        live = live[(cut[live] > start[live])]
+        live = live[IS_MARK[data[cut[live] + 1]]]
+        if not len(live):
+            break
+        cut[live] -= 1
+    last, before = data[cut + 1], data[cut]
+    sound = (cut > start) & (IS_WORD[last] | (before == 0xC4) | (before == 0xC5) | ((before == 0xC3) & (last != 0x97) & (last != 0xB7)))
+    both = np.empty(2 * n + 1, np.int32)
+    both[::2], both[1::2] = ends, np.where(sound, cut, ends[1:])
+    return pa.StringArray.from_buffers(2 * n, pa.py_buffer(both), words.buffers()[2])
 
 
 class WordEncoder:
-    """Ids by a file of the tokenizers library, as little-endian unsigned 32-bit integers.
+    """Ids by a file of the tokenizers library.
 
     A file that lower-cases and cuts a text at white space gives a word the same ids wherever
-    it stands. So the ids of each distinct word are made once in a process, by the
-    library's own model. Texts with characters for which that could differ, and other kinds of
-    file, go through the library as a whole.
+    it stands. So each distinct word of a batch is looked at once, and the ids of words without the marks at their end are
+    made once by the library's own model and kept in flat arrays. Texts with characters for which a word's ids could depend
+    on where it stands, and other kinds of file, go through the library as a whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.model, self.byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
-        self.known = _Known(self)
         self.pattern = self._pattern(spec)
         self.marks = [t["content"].lower() for t in spec.get("added_tokens") or []]
+        # the file's model on pieces that are cut and spelled already; the printable ASCII characters stand for their own bytes
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = WhitespaceSplit()
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False)
+        vocabulary, suffix = self.tokenizer.get_vocab(), spec["model"].get("end_of_word_suffix")
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.letters = {i: spelled.pre_tokenize_str(chr(i))[0][0] for i in range(0xA1, 0x180)}
+        self._keep(pa.array([], pa.string()), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64))
 
     @staticmethod
     def _pattern(spec: dict):
@@ -63,36 +103,94 @@ class WordEncoder:
             and cut[1].get("add_prefix_space") is False
             and cut[1].get("use_regex") is False
             and spec.get("post_processor") is None
+            and spec["model"].get("end_of_word_suffix")
         )
         return regex.compile(cut[0]["pattern"]["Regex"]) if by_words else None
 
-    def _piece(self, piece: str) -> bytes:
-        # the printable ASCII characters stand for their own bytes
-        part = piece if piece.isascii() else self.byte_level.pre_tokenize_str(piece)[0][0]
-        ids = [t.id for t in self.model.tokenize(part)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _cut(self, word: str) -> list[str]:
-        """The pieces of a word: itself if all letters, often letters and a stop, else by the file's pattern."""
-        if word.isalpha():
-            return [word]
-        if word[-1] in ".," and word[:-1].isalpha():
-            return [word[:-1], word[-1]]
-        return self.pattern.findall(word)
-
-    def __call__(self, text: str | None) -> bytes:
-        text = text or ""
-        if self.pattern is None or NOT_PLAIN.search(text):
-            return self._whole(text)
-        low = text.lower()
-        if any(m in low for m in self.marks):
-            return self._whole(text)
-        return b"".join(map(self.known.__getitem__, low.split()))
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _keep(self, units: pa.Array, ids: np.ndarray, counts: np.ndarray, used: np.ndarray) -> None:
+        """The table of known units: their ids one after another, how many each has, and in how many words each was met."""
+        self.units, self.ids, self.counts, self.used = units, ids, counts, used
+        self.starts = np.cumsum(counts) - counts
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.used > 1)
+        ids, counts = gathered(self.ids, self.starts, self.counts, kept)
+        self._keep(self.units.take(pa.array(kept)), ids, counts, np.ones(len(kept), np.int64))
+
+    def _learn(self, units: pa.Array) -> None:
+        """Add distinct ``units`` that aren't in the table."""
+        pieces, n_pieces = [], np.ones(len(units), np.int64)
+        for i, unit in enumerate(units.to_pylist()):
+            if unit.isalpha():
+                pieces.append(unit)
+            else:
+                own = self.pattern.findall(unit)
+                n_pieces[i] = len(own)
+                pieces += own
+        spelled = [x if x.isascii() else x.translate(self.letters) for x in pieces]
+        together = [" ".join(spelled[at : at + TOGETHER]) for at in range(0, len(spelled), TOGETHER)]
+        made = self.pieces.encode_batch_fast(together, add_special_tokens=False)
+        ids = np.concatenate([np.empty(0, np.uint32), *[np.array(x.ids, np.uint32) for x in made]])
+        # a piece ends with the first id whose token ends a word
+        ends = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(self.ends_word[ids]) + 1])
+        by_unit = np.diff(ends[np.concatenate([np.zeros(1, np.int64), np.cumsum(n_pieces)])])
+        self._keep(
+            pa.concat_arrays([self.units, units]), np.concatenate([self.ids, ids]),
+            np.concatenate([self.counts, by_unit]), np.concatenate([self.used, np.zeros(len(units), np.int64)]),
+        )
+
+    def _by_word(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct ``words`` one after another, and how many each has."""
+        units = in_two(words)
+        found = pc.index_in(units, value_set=self.units)
+        at = pc.fill_null(found, 0).to_numpy().astype(np.int64)
+        if found.null_count:
+            new = units.filter(found.is_null()).dictionary_encode()
+            at[found.is_null().to_numpy(zero_copy_only=False)] = len(self.units) + new.indices.to_numpy()
+            self._learn(new.dictionary)
+        self.used += np.bincount(at, minlength=len(self.used))
+        ids, counts = gathered(self.ids, self.starts, self.counts, at)
+        if self.units.nbytes + self.ids.nbytes + 24 * len(self.counts) > KEPT_BYTES:
+            self._forget()
+        return ids, counts[::2] + counts[1::2]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` one after another (nulls are empty), and where each text's end: offsets from 0 on."""
+        texts = pc.fill_null(texts, "")
+        if self.pattern is None:
+            odd = np.ones(len(texts), bool)
+        else:
+            low = pc.utf8_lower(texts)
+            strange = pc.match_substring_regex(texts, f"[^{PLAIN}]")
+            for mark in self.marks:
+                strange = pc.or_(strange, pc.match_substring(low, mark))
+            odd = strange.to_numpy(zero_copy_only=False)
+        ids, offsets = np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        if not odd.all():
+            lists = pc.ascii_split_whitespace(pc.if_else(strange, "", low) if odd.any() else low)
+            words = lists.flatten().dictionary_encode()
+            ids, counts = self._by_word(words.dictionary)
+            ids, counts = gathered(ids, np.cumsum(counts) - counts, counts, words.indices.to_numpy())
+            offsets = np.concatenate([offsets[:1], np.cumsum(by_list(lists, counts))])
+        if odd.any():
+            parts, start, more = [], 0, np.zeros(len(texts) + 1, np.int64)
+            for i in np.flatnonzero(odd).tolist():
+                own = self.whole(texts[i].as_py())
+                parts += [ids[start : offsets[i]], own]
+                start = offsets[i]
+                more[i + 1] = len(own)
+            ids, offsets = np.concatenate([*parts, ids[start:]]), offsets + np.cumsum(more)
+        return ids, offsets
 
 
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
+
+
+def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and offsets as of ``encode``, with ``end_id`` after each text."""
+    return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(len(offsets))

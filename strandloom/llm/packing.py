@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandloom.llm import _common as c
-from strandloom.llm._tokens import word_encoder
+from strandloom.llm._tokens import AT_ONCE, with_end, word_encoder
 
 
 @dataclass(frozen=True)
@@ -216,23 +216,23 @@ def pieces(df: DataFrame, tokenizer_path: str, end_id: int, capacity: int, key:
     kind = df.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(tokenizer_path)
-        end, step = np.uint32(end_id).tobytes(), 4 * capacity
+        encoder = word_encoder(tokenizer_path)
         for batch in batches:
-            row, at, length, crc = [], [], [], []
-            for i, t in enumerate(batch.column(1)):
-                raw = encode(t.as_py()) + end
-                for k in range(0, len(raw), step):
-                    own = raw[k : k + step]
-                    row.append(i)
-                    at.append(k // step)
-                    length.append(len(own) // 4)
-                    crc.append(zlib.crc32(own))
-            n = np.array(at, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int32())), pa.array(n.astype(np.int32)), pa.array(n * capacity), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            for part in c.small_parts(batch, 1, AT_ONCE):
+                ids, offsets = with_end(*encoder.encode(part.column(1)), end_id)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                sizes = np.diff(offsets)
+                n_pieces = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), n_pieces)
+                at = np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+                start = at * capacity
+                length = np.minimum(capacity, sizes[row] - start)
+                first = offsets[row] + start
+                crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(first.tolist(), (first + length).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return df.select(key, text).mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 

@@ -8,12 +8,13 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strandloom.llm import _common, entries, fingerprints, near_dedup, packing, pii, token_store
+from strandloom.llm import _common, _tokens, entries, fingerprints, near_dedup, packing, pii, token_store
 from strandloom.llm._tokens import WordEncoder
 
 SF = "/root/testdata/sf0.001"
@@ -120,15 +121,31 @@ def test_components_of_a_chain(spark):
 # --- token ids ---
 
 
+LIBRARY = Tokenizer.from_file(WORDS)
+
+
 def library_ids(text):
-    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def test_word_encoder_is_the_library():
     odd = ["don't I'LL we've", "İstanbul ΣΑΣ", "a\x1cb\x85c\xa0d", "<|endoftext|> x <|EndOfText|>", "é é ﬁ", "½²³ 12345", "_a_b__ 's's", "\x7f", *[t or "" for t in EDGE]]
+    letters = "".join(chr(x) for x in [*range(9, 14), *range(32, 127), *range(0xA1, 0x130), *range(0x131, 0x180)])
+    odd += [f"{x}A{x} {x} b{x} c{x}.{x} d'{x}" for x in letters] + ["end!!' a). (b x's. no!?;| é. É». ²! ×. " + "w" + "!" * 20]
     enc = WordEncoder(WORDS)
-    for t in odd * 2:
-        assert enc(t) == np.array(library_ids(t), "<u4").tobytes(), t
+    for texts in (odd, odd[::-1], odd[5:9], [t for t in odd if t], [None], []):
+        ids, offsets = enc.encode(pa.array(texts, pa.string()))
+        for i, t in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == library_ids(t), t
+
+
+def test_word_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(_tokens, "KEPT_BYTES", 3000)
+    rng, enc = random.Random(2), WordEncoder(WORDS)
+    for _ in range(20):
+        texts = [" ".join(rng.choice(["the", "of", f"w{rng.randint(0, 500)}", f"éa{rng.randint(0, 9)}..."]) for _ in range(30)) for _ in range(5)]
+        ids, offsets = enc.encode(pa.array(texts))
+        assert [ids[offsets[i] : offsets[i + 1]].tolist() for i in range(5)] == [library_ids(t) for t in texts]
 
 
 def test_cut_points():
@@ -166,12 +183,53 @@ def test_token_store(spark, tmp_path):
     assert chunks.count() == chunks.select("chunk").distinct().count()
     assert token_store.verify_manifest(spark, path).count() == 0
     bad = chunks.withColumn("ids", F.when(F.col("n_ids") == chunks.agg(F.max("n_ids")).first()[0], F.reverse(F.col("ids"))).otherwise(F.col("ids")))
-    _common.materialise(bad, "bad")
     broken = f"file://{tmp_path}/broken"
     bad.write.parquet(f"{broken}/chunks")
-    spark.read.parquet(f"{path}/recipes").write.partitionBy("part").parquet(f"{broken}/recipes")
+    recipes = spark.read.parquet(f"{path}/recipes")
+    for name in ("manifest", "root"):
+        spark.read.parquet(f"{path}/{name}").write.parquet(f"{broken}/{name}")
+    recipes.write.partitionBy("part").parquet(f"{broken}/recipes")
     with pytest.raises(Exception, match="does not verify"):
         token_store.read(spark, broken).collect()
+    changed = {"lost": recipes.where("doc_id <> 4 or doc_id is null"), "moved": recipes.withColumn("doc_id", F.when(F.col("doc_id") == 4, 44).otherwise(F.col("doc_id"))), "twice": recipes.unionByName(recipes.where("doc_id = 4"))}
+    for name, own in changed.items():
+        broken = f"file://{tmp_path}/{name}"
+        for other in ("manifest", "root"):
+            spark.read.parquet(f"{path}/{other}").write.parquet(f"{broken}/{other}")
+        own.write.partitionBy("part").parquet(f"{broken}/recipes")
+        with pytest.raises(ValueError, match="do not verify"):
+            token_store.read(spark, broken)
+
+
+def test_token_store_of_no_rows(spark, tmp_path):
+    path = f"file://{tmp_path}/empty"
+    token_store.write(docs(spark, "x").limit(0), path, WORDS, end_id=2)
+    got = token_store.read(spark, path)
+    assert got.count() == 0 and got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert spark.read.parquet(f"{path}/root").first()["n_docs"] == 0
+
+
+def test_token_store_query(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    at = 0
+    for r in sorted(entries.op7_token_store(spark, SF).collect(), key=lambda r: r["doc_id"]):
+        ids = np.array([*library_ids(texts.pop(r["doc_id"])), 2], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert not texts
+
+
+def test_packing_query(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = entries.op9_best_fit_packing(spark, SF).collect()
+    ids = {i: np.array([*library_ids(t), 0], "<u4") for i, t in texts.items()}
+    assert Counter(r["doc_id"] for r in got) == {i: -(-len(x) // 2048) for i, x in ids.items()}
+    used = defaultdict(list)
+    for r in got:
+        own = ids[r["doc_id"]][r["start"] : r["start"] + 2048]
+        assert r["start"] == 2048 * r["piece"] and len(own) == r["length"] and zlib.crc32(own.tobytes()) == r["ids_crc32"]
+        used[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all(sorted(x)[k][0] == sum(n for _, n in sorted(x)[:k]) for x in used.values() for k in range(len(x)))
 
 
 # --- packing ---
