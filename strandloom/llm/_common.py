@@ -53,7 +53,10 @@ def maybe_broadcast(df: DataFrame) -> DataFrame:
 
 
 def small_parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices whose texts in ``column`` have about ``size`` bytes in all; a longer text is a slice of its own."""
+    """``batch`` in slices whose texts in ``column`` have about ``size`` bytes in all; a longer text is a slice of its own.
+
+    After a batch, a worker gives back the memory that its arrays no longer need.
+    """
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(lengths) // size
     ends = [*(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
@@ -62,6 +65,7 @@ def small_parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.Re
         if end > start:
             yield batch.slice(start, end - start)
         start = end
+    pa.default_memory_pool().release_unused()
 
 
 def ordered_parts(df: DataFrame, key: str, what: str) -> DataFrame:

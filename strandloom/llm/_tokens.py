@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -16,11 +17,11 @@ from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 #: just the six ASCII ones are white space. Then a word between them has the same ids in any text.
 PLAIN = "\\t-\\r\\x20-\\x7e\\x{a1}-\\x{12f}\\x{131}-\\x{17f}"
 #: Bytes of words and ids that a worker process keeps at most; beyond it, those that were met once are let go.
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 16 << 20
 #: Bytes of text that are worked on at once, about; a longer text is worked on alone.
-AT_ONCE = 8 << 20
-#: Pieces that the library gets at once, and marks at the end of a word that may be cut off.
-TOGETHER, MARKS = 1000, 8
+AT_ONCE = 4 << 20
+#: Units that the library gets at once, and marks at the end of a word that may be cut off.
+TOGETHER, MARKS = 2000, 8
 #: By byte: the ASCII marks but the apostrophe, which can be part of a piece with letters; ASCII letters and digits.
 IS_MARK = np.array([33 <= i < 127 and not chr(i).isalnum() and i != 39 for i in range(256)])
 IS_WORD = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
@@ -29,9 +30,9 @@ IS_WORD = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
 def gathered(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of ``ids`` at places ``at``, one after another, and the length of each."""
     own = counts[at]
-    ends = np.cumsum(own)
-    place = np.repeat(starts[at] - (ends - own), own)
-    place += np.arange(len(place))
+    ends = np.cumsum(own, dtype=np.int64)
+    place = np.repeat((starts[at] - (ends - own)).astype(np.int32), own)
+    place += np.arange(len(place), dtype=np.int32)
     return ids[place], own
 
 
@@ -117,10 +118,10 @@ class WordEncoder:
         ids, counts = gathered(self.ids, self.starts, self.counts, kept)
         self._keep(self.units.take(pa.array(kept)), ids, counts, np.ones(len(kept), np.int64))
 
-    def _learn(self, units: pa.Array) -> None:
-        """Add distinct ``units`` that aren't in the table."""
+    def _ids_of(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``units`` one after another, by the library, and how many each has."""
         pieces, n_pieces = [], np.ones(len(units), np.int64)
-        for i, unit in enumerate(units.to_pylist()):
+        for i, unit in enumerate(units):
             if unit.isalpha():
                 pieces.append(unit)
             else:
@@ -128,15 +129,18 @@ class WordEncoder:
                 n_pieces[i] = len(own)
                 pieces += own
         spelled = [x if x.isascii() else x.translate(self.letters) for x in pieces]
-        together = [" ".join(spelled[at : at + TOGETHER]) for at in range(0, len(spelled), TOGETHER)]
-        made = self.pieces.encode_batch_fast(together, add_special_tokens=False)
-        ids = np.concatenate([np.empty(0, np.uint32), *[np.array(x.ids, np.uint32) for x in made]])
+        made = self.pieces.encode_batch_fast([" ".join(spelled)], add_special_tokens=False)[0].ids
+        ids = np.array(made, np.uint32)
         # a piece ends with the first id whose token ends a word
         ends = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(self.ends_word[ids]) + 1])
-        by_unit = np.diff(ends[np.concatenate([np.zeros(1, np.int64), np.cumsum(n_pieces)])])
+        return ids, np.diff(ends[np.concatenate([np.zeros(1, np.int64), np.cumsum(n_pieces)])])
+
+    def _learn(self, units: pa.Array) -> None:
+        """Add distinct ``units`` that aren't in the table."""
+        made = [self._ids_of(units.slice(at, TOGETHER).to_pylist()) for at in range(0, len(units), TOGETHER)]
         self._keep(
-            pa.concat_arrays([self.units, units]), np.concatenate([self.ids, ids]),
-            np.concatenate([self.counts, by_unit]), np.concatenate([self.used, np.zeros(len(units), np.int64)]),
+            pa.concat_arrays([self.units, units]), np.concatenate([self.ids, *[x for x, _ in made]]),
+            np.concatenate([self.counts, *[n for _, n in made]]), np.concatenate([self.used, np.zeros(len(units), np.int64)]),
         )
 
     def _by_word(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -188,6 +192,7 @@ class WordEncoder:
 
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and each thread more memory
     return WordEncoder(path)
 
 

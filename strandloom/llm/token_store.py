@@ -30,7 +30,7 @@ from strandloom.llm._tokens import AT_ONCE, with_end, word_encoder
 #: Ids seen by the rolling hash, and the chunk lengths: mean about LEAST + 2**BITS, MOST at most.
 REACH, LEAST, BITS, MOST = 8, 64, 9, 4096
 #: Odd multiplier of the rolling hash (a fixed value of this file format).
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
+FACTOR = np.uint32(0x9E3779B1)
 #: Documents in a page of the manifest.
 PAGE = 1024
 #: Levels that a tree of the manifest has at most.
@@ -41,14 +41,14 @@ REMEMBERED = 1 << 18
 
 def marks(ids: np.ndarray) -> np.ndarray:
     """The places after ids where the top BITS bits of the polynomial hash of the last REACH ids are zero."""
-    x = ids.astype(np.uint64) + np.uint64(1)
-    rolling, power = np.zeros(len(x), dtype=np.uint64), np.uint64(1)
+    x = ids.astype(np.uint32) + np.uint32(1)
+    rolling, power = np.zeros(len(x), dtype=np.uint32), np.uint32(1)
     with np.errstate(over="ignore"):
         for back in range(min(REACH, len(x))):
             rolling[back:] += x[: len(x) - back] * power
             power = power * FACTOR
         rolling *= FACTOR
-    return np.flatnonzero(rolling >> np.uint64(64 - BITS) == 0) + 1
+    return np.flatnonzero(rolling >> np.uint32(32 - BITS) == 0) + 1
 
 
 def ends_between(found: list[int], start: int, stop: int) -> list[int]:
