@@ -25,7 +25,13 @@ FREE_DIGITS = 9
 
 # What is looked for, in the order in which it is tried at a place.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
+#: Unbounded repeats of a group are possessive: then their matching is a loop, however long the text, and not a recursion.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
+TOKEN_PREFIX = "AKIA|ASIA|AIza|sk-|gh[opsru]_|github_pat_|xox[abprs]-"
+TOKEN = (
+    r"(?<![\p{L}\p{N}_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|AIza[0-9A-Za-z_-]{35}|sk-[A-Za-z0-9_-]{20,200}|gh[opsru]_[A-Za-z0-9]{36,200}"
+    r"|github_pat_[A-Za-z0-9_]{22,200}|xox[abprs]-[A-Za-z0-9-]{10,200})(?![\p{L}\p{N}_-])"
+)
 HEX = r"(?<![\p{L}\p{N}])(?=[0-9a-fA-F]{0,63}[0-9])[0-9a-fA-F]{32,64}(?![\p{L}\p{N}])"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![\p{L}\p{N}])"
 _H = "[0-9A-Fa-f]{1,4}"
@@ -61,11 +67,15 @@ _LEAD = rf"(?:(?:van|von|vom|zu|zum|zur|der|den|ten|ter|de|del|della|di|da|do|do
 _JOIN = rf"(?:(?<=(?<![\p{{L}}\p{{M}}])\p{{Lu}})\.{_SPACE}?|{_SPACE}|-)"
 #: Up to three titles and up to eight words.
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE}){{1,3}}{_LEAD}{WORD}(?:{_JOIN}{_LEAD}{WORD}){{0,7}}(?!\p{{L}})"
-KINDS = {"email": EMAIL, "secret": HEX, "ipv6": IPV6, "iban": IBAN, "card": CARD, "ssn": SSN, "ipv4": IPV4, "phone": PHONE, "name": NAME}
+KINDS = {"email": EMAIL, "token": TOKEN, "secret": HEX, "ipv6": IPV6, "iban": IBAN, "card": CARD, "ssn": SSN, "ipv4": IPV4, "phone": PHONE, "name": NAME}
 #: All in one pattern; the back reference of a card is the pattern's only group.
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Texts without a match of this have no entity; it is cheap to look for.
-HINT = rf"[@0-9]|::|(?:{_TITLES}|M)(?:\.|{_SPACE})"
+HINT = rf"[@0-9]|::|{TOKEN_PREFIX}|(?:{_TITLES}|M)(?:\.|{_SPACE})"
+#: A word that may be one of a name without its title.
+BARE = r"\p{Lu}(?:['’]\p{L})?[\p{L}\p{M}]++"
+#: ANY, and such words where they are whole.
+ANY_OR_BARE = rf"{ANY}|(?<![\p{{L}}\p{{M}}\p{{N}}]){BARE}(?![\p{{N}}])"
 
 _HEX = "0123456789abcdef"
 _CONSONANTS, _VOWELS = "bdfghklmnprstvzj", "aeiouaeiouaeioua"
@@ -111,9 +121,9 @@ def _groups(address: Column) -> Column:
 
 
 def canonical(kind: Column, entity: Column) -> Column:
-    """What all spellings of an entity share: digits alone, whole groups, or lower case without spaces."""
+    """What all spellings of an entity share: digits alone, whole groups, or lower case without spaces; a token has one spelling."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
-    return F.when(kind.isin("card", "phone", "ssn"), digits).when(kind == "ipv6", _groups(F.lower(entity))).otherwise(F.regexp_replace(F.lower(entity), " ", ""))
+    return F.when(kind == "token", entity).when(kind.isin("card", "phone", "ssn"), digits).when(kind == "ipv6", _groups(F.lower(entity))).otherwise(F.regexp_replace(F.lower(entity), " ", ""))
 
 
 def _parts(entity: Column) -> Column:
@@ -155,13 +165,30 @@ def _digits(kind: Column, entity: Column, stream: Column) -> Column:
     return F.when((kind == "card") & (_luhn_sum(entity, 1) % 10 == 0), F.concat(body, check)).otherwise(made)
 
 
-def _shape(text: Column, stream: Column, keep: int = 0) -> Column:
+def _mod97(text: Column) -> Column:
+    """The remainder by 97 of lower-case letters (10 to 35) and digits read as one number."""
+
+    def step(a: Column, ch: Column) -> Column:
+        v = F.instr(F.lit("0123456789abcdefghijklmnopqrstuvwxyz"), ch) - 1
+        return F.when(v < 10, (a * 10 + v) % 97).otherwise((a * 100 + v) % 97).cast("int")
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _iban(entity: Column, made: Column) -> Column:
+    """The country of ``entity`` and what follows the fourth character of ``made``, with check digits that are right."""
+    country, rest = F.substring(entity, 1, 2), F.substring(made, F.lit(5), F.length(made))
+    return let(rest, lambda r: F.concat(country, F.lpad((98 - _mod97(F.concat(r, country, F.lit("00")))).cast("string"), 2, "0"), r))
+
+
+def _shape(text: Column, stream: Column, keep: int | Column = 0) -> Column:
     """Letters for letters and digits for digits, beyond the first ``keep`` characters; all else stays."""
     letters, decimals = F.translate(stream, _HEX, "acdefhkmnprtuvxz"), F.translate(stream, _HEX, "0123456789724681")
 
     def one(ch: Column, i: Column) -> Column:
         at = i % 128 + 1
-        new = F.when(ch.rlike(r"\p{N}"), F.substring(decimals, at, F.lit(1))).when(ch.rlike(r"\p{L}"), F.substring(letters, at, F.lit(1))).otherwise(ch)
+        letter = F.substring(letters, at, F.lit(1))
+        new = F.when(ch.rlike(r"\p{N}"), F.substring(decimals, at, F.lit(1))).when(ch.rlike(r"\p{Lu}"), F.upper(letter)).when(ch.rlike(r"\p{L}"), letter).otherwise(ch)
         return F.when(i < keep, ch).otherwise(new)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -207,7 +234,8 @@ def surrogate(kind: Column, entity: Column, secret: str, attempt: Column) -> Col
             .when(kind == "secret", F.substring(stream, F.lit(1), F.length(entity)))
             .when(kind == "ipv4", F.when(wide, groups).otherwise(_octets(stream)))
             .when(kind == "ipv6", groups)
-            .when(kind == "iban", F.concat(F.lower(_shape(F.upper(entity), stream, 2)), more("0123456789724681")))
+            .when(kind == "token", _shape(entity, stream, F.length(F.regexp_extract(entity, f"^({TOKEN_PREFIX})", 1))))
+            .when(kind == "iban", _iban(entity, F.concat(_shape(entity, stream), more("0123456789724681"))))
             .when(kind.isin("card", "phone", "ssn"), F.concat(_digits(kind, entity, stream), more("0123456789724681")))
             .when(kind == "initial", _initial(entity, stream))
             .otherwise(_syllables(kind, entity, stream, wide))
@@ -307,29 +335,44 @@ def replace(df: DataFrame, secret: str, text: str = "text", count: str = "n_enti
     """``df`` with entities in ``text`` replaced by their surrogates, and their number in ``count``.
 
     Whole texts are searched. Null and empty texts stay as they are with no entities; equal texts get
-    equal results; all columns stay (one named ``count`` is replaced). Texts aren't shuffled, unless an entity
+    equal results; all columns stay, whatever their names (but one named ``count`` is replaced). Texts aren't shuffled, unless an entity
     that they hold was hashed more than once: then such texts, found by their hash, get its surrogate by a join.
     """
     again = c.materialise(assign(entities(df, text), secret).where("attempt > 0").select(F.concat_ws(":", "kind", "entity").alias("name"), "surrogate"), "again")
-    n_again = again.count()
-    t = F.col(text)
-    if n_again == 0:
-        return _replaced(df, text, count, secret, None)
-    # surrogates by text: only texts that hold an entity with more than one attempt
-    holds = df.where(t.rlike(HINT)).select(F.sha2(t, 256).alias("_text"), F.explode(_found(t)).alias("found")).distinct()
-    holds = holds.select("_text", F.explode(_parts(F.col("found"))).alias("e")).select("_text", F.concat_ws(":", "e.kind", "e.entity").alias("name")).distinct()
-    wanted = holds.join(c.maybe_broadcast(again), "name").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias("_given"))
-    wanted = c.materialise(wanted, "given")
-    joined = df.withColumn("_text", F.sha2(t, 256)).join(c.maybe_broadcast(wanted), "_text", "left")
-    return _replaced(joined, text, count, secret, F.col("_given")).drop("_text", "_given")
-
-
-def _replaced(df: DataFrame, text: str, count: str, secret: str, given: Column | None) -> DataFrame:
+    rows = df.select(F.struct(*[F.col(f"`{x}`") for x in df.columns]).alias("row"), F.col(text).alias("t"))
+    given = None
+    if not again.isEmpty():
+        # surrogates by text: only texts that hold an entity with more than one attempt
+        holds = df.select(F.col(text).alias("t")).where(F.col("t").rlike(HINT)).select(F.sha2("t", 256).alias("hash"), F.explode(_found(F.col("t"))).alias("found")).distinct()
+        holds = holds.select("hash", F.explode(_parts(F.col("found"))).alias("e")).select("hash", F.concat_ws(":", "e.kind", "e.entity").alias("name")).distinct()
+        wanted = holds.join(c.maybe_broadcast(again), "name").groupBy("hash").agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias("given"))
+        rows = rows.withColumn("hash", F.sha2("t", 256)).join(c.maybe_broadcast(c.materialise(wanted, "given")), "hash", "left")
+        given = F.col("given")
+    out = _replaced(rows, secret, given)
+    kept = [F.col("changed").alias(x) if x == text else F.col(f"row.`{x}`").alias(x) for x in df.columns if x != count]
+    return out.select(*kept, F.col("n").alias(count))
+
+
+def _named_words(titled: Column) -> Column:
+    """The words of all titled names as an array of (entity, at, kind), sorted, without initials; ``at`` is their order in the text."""
+    each = F.transform(F.flatten(F.transform(titled, _parts)), lambda p, i: F.struct(p["entity"].alias("entity"), i.alias("at"), p["kind"].alias("kind")))
+    return F.array_sort(F.filter(each, lambda p: F.length(p["entity"]) > 1))
+
+
+def _look_up(names: Column, steps: Column, entity: Column) -> Column:
+    """The first of ``names`` with this entity, or null, by binary search, so that a long text of many names takes no time by their square."""
+    at = F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(names, at + s - 1)["entity"] < entity, at + s).otherwise(at))
+    return let(F.get(names, at), lambda p: F.when(p["entity"] == entity, p))
+
+
+def _replaced(rows: DataFrame, secret: str, given: Column | None) -> DataFrame:
+    """``rows`` with ``changed``, their text ``t`` with surrogates, and ``n``, how many."""
+
     def made(kind: Column, entity: Column) -> Column:
         hashed = surrogate(kind, entity, secret, F.lit(0))
         return hashed if given is None else F.coalesce(given[F.concat_ws(":", kind, entity)], hashed)
 
-    def new(entity: Column) -> Column:
+    def new(entity: Column, bare: Column) -> Column:
         def named(parts: Column) -> Column:
             words = F.transform(parts, lambda p: made(p["kind"], p["entity"]))
             gaps = F.split(_untitled(entity), WORD, -1)
@@ -342,23 +385,25 @@ def _replaced(df: DataFrame, text: str, count: str, secret: str, given: Column |
             return _spelled(kind, entity, made(kind, name))
 
         # a bare word is what it was where it has a title
-        bare = F.filter("_names", lambda p: p["entity"] == F.lower(entity))
         is_name = lambda p: p[0]["kind"].startswith("given_") | p[0]["kind"].isin("family", "initial")
-        parts = F.when(F.size(bare) > 0, F.slice(bare, 1, 1)).otherwise(_parts(entity))
+        parts = F.when(bare.isNotNull(), F.array(F.struct(bare["kind"].alias("kind"), bare["entity"].alias("entity")))).otherwise(_parts(entity))
         return let(parts, lambda p: F.when(is_name(p), named(p)).otherwise(other(p)))
 
-    t = F.col(text)
-    out = df.withColumn("_found", _found(t))
-    # names of the text, and a pattern that also finds their words where they have no title
-    titled = F.filter("_found", lambda x: x.rlike(rf"^(?:{NAME})$"))
-    out = out.withColumn("_titled", F.coalesce(titled, F.array().cast("array<string>")))
-    known = F.filter(F.flatten(F.transform("_titled", _words)), lambda w: F.length(w) > 1)
-    out = out.withColumns({"_names": F.flatten(F.transform("_titled", _parts)), "_known": known})
-    spellings = F.array_distinct(F.concat("_known", F.transform("_known", F.upper), F.transform("_known", F.initcap)))
-    bare = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{M}\p{N}])(?:"), F.array_join(spellings, "|"), F.lit(r")(?![\p{L}\p{M}\p{N}])"))
-    out = out.withColumn("_pattern", F.when(F.size("_known") > 0, bare).otherwise(F.lit(ANY)))
-    out = out.withColumn("_found", F.when(F.size("_known") > 0, F.regexp_extract_all(t, F.col("_pattern"), F.lit(0))).otherwise(F.col("_found")))
-    pieces = let(F.split(t, F.col("_pattern"), -1), lambda s: F.transform(s, lambda x, i: F.when(i < F.size("_found"), F.concat(x, new(F.get(F.col("_found"), i)))).otherwise(x)))
-    changed = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(t)
-    out = out.withColumns({text: changed, count: F.coalesce(F.size("_found"), F.lit(0)).cast("long")})
-    return out.drop("_found", "_titled", "_names", "_known", "_pattern")
+    t = F.col("t")
+    out = rows.withColumn("found", _found(t))
+    # names of the text; where there are any, words that may be theirs are found too and looked up
+    out = out.withColumn("names", F.coalesce(_named_words(F.filter("found", lambda x: x.rlike(rf"^(?:{NAME})$"))), F.array().cast("array<struct<entity:string,at:int,kind:string>>")))
+    steps = F.filter(F.array(*[F.lit(1 << i) for i in range(20, -1, -1)]), lambda s: s <= F.size("names"))
+    out = out.withColumns({"steps": steps, "pattern": F.when(F.size("names") > 0, F.lit(ANY_OR_BARE)).otherwise(F.lit(ANY))})
+    out = out.withColumn("found", F.when(F.size("names") > 0, F.regexp_extract_all(t, F.col("pattern"), F.lit(0))).otherwise(F.col("found")))
+
+    def hit(x: Column) -> Column:
+        bare = F.when(F.size("names") > 0, x.rlike(f"^{BARE}$")).otherwise(F.lit(False))
+        name = F.when(bare, _look_up(F.col("names"), F.col("steps"), F.lower(x)))
+        return let(name, lambda p: F.struct(x.alias("x"), p.alias("name"), (~bare | p.isNotNull()).alias("is_one")))
+
+    out = out.withColumn("hits", F.transform("found", hit))
+    put = lambda x, h: F.concat(x, F.when(h["is_one"], new(h["x"], h["name"])).otherwise(h["x"]))
+    pieces = let(F.split(t, F.col("pattern"), -1), lambda s: F.transform(s, lambda x, i: F.when(i < F.size("hits"), put(x, F.get(F.col("hits"), i))).otherwise(x)))
+    n = F.coalesce(F.size(F.filter("hits", lambda h: h["is_one"])), F.lit(0))
+    return out.withColumn("n", n.cast("long")).withColumn("changed", F.when(F.col("n") > 0, F.array_join(pieces, "")).otherwise(t))
