@@ -12,8 +12,10 @@ from strandloom.functions.motif import motif_regex, reverse_complement_of
 from strandloom.operators import cigar, merge, protect, sites, stats, windows
 from strandloom.plans.digest import Digest
 from strandloom.plans.guided import Guided
+from strandloom.scratch import scratch
 from strandloom.sources.derived import BASES, LETTERS, derived_alignments, derived_reads
-from strandloom.sources.sinks import monomer_records, pair_records
+from strandloom.sources.paf import on_reads, read_paf
+from strandloom.sources.sinks import monomer_records, pair_records, window_records
 from strandloom.streaming.digest_stream import streamed_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +50,19 @@ def _blocks(spark: SparkSession, d: str) -> DataFrame:
     return cigar.split_alignments(derived_alignments(spark, d), 50)
 
 
+def _paf_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The derived alignments written as PAF records of windows, every third without a CIGAR, read back and split."""
+    a = derived_alignments(spark, d)
+    total = F.aggregate(F.filter(cigar.cigar_ops(F.col("cigar")), lambda x: x["op"].isin("M", "D", "N")), F.lit(0).cast("bigint"), lambda n, x: n + x["len"])
+    off = F.floor(F.col("q_start") / 1750) * 1750
+    name = F.concat(F.lit("read"), F.col("read_idx"), F.lit("_W"), off)
+    tag = F.when(F.col("t_start") % 3 == 0, F.lit("tp:A:P")).otherwise(F.concat(F.lit("cg:Z:"), "cigar"))
+    fields = [name, F.lit(2000), F.col("q_start") - off, F.col("q_end") - off, F.col("strand"), F.col("target_id"), F.lit(300000), F.col("t_start"), F.col("t_start") + total, F.lit(0), F.lit(0), F.lit(60), tag]
+    path = scratch(spark, "paf")
+    a.select(F.concat_ws("\t", *[x.cast("string") for x in fields]).alias("value")).write.text(path)
+    return cigar.split_alignments(on_reads(read_paf(spark, path), derived_reads(spark, d)), 50)
+
+
 def _records(df: DataFrame) -> DataFrame:
     return df.select("read_idx", F.md5("record").alias("record"))
 
@@ -76,6 +91,8 @@ QUERIES: dict[str, Query] = {
     "monomer_records": lambda s, d: _records(monomer_records(_digest()(s, d).monomers)),
     "alignments": derived_alignments,
     "cigar_blocks": _blocks,
+    "paf_blocks": _paf_blocks,
+    "window_records": lambda s, d: _records(window_records(windows.split_windows(derived_reads(s, d), keep=("read_id",)))),
     "merged_blocks": lambda s, d: merge.merge_blocks(_blocks(s, d), 50),
     "reads_with_blocks": lambda s, d: merge.merge_blocks(_blocks(s, d), 50).agg(F.count_distinct("read_idx").alias("reads"), F.count("*").alias("blocks")),
     "sites_final": lambda s, d: _guided(s, d).sites_final,
@@ -237,6 +254,11 @@ sites_final as (
 classed as (select *, case when span >= 3 then 'P' else 'C' end as class from sites_final),
 cut_sites as (select * from classed where class = 'C')"""
 
+_OFFS = """
+offs as (
+  select read_idx, seq, unnest(case when len <= 2000 then [cast(0 as bigint)] else list_append(list_filter(range(0, len, 1750), lambda s: s + 2000 < len), len - 2000) end) as win_off from reads
+)"""
+
 _CATG = _sites_sql("CATG", 4, False)
 _PLAIN = (_READS, _CATG, _cut_sql("x", "x", 30))
 _DUP = (_READS, _CATG, _cut_sql("motif_start", "motif_end", 20))
@@ -258,12 +280,14 @@ ORACLE_SQL: dict[str, str] = {
     "overlapping_sites": _with(_READS, _sites_sql("CGCG", 2, False), select=_ALL_SITES),
     "windows": _with(
         _READS,
-        """
-offs as (
-  select read_idx, seq, unnest(case when len <= 2000 then [cast(0 as bigint)] else list_append(list_filter(range(0, len, 1750), lambda s: s + 2000 < len), len - 2000) end) as win_off from reads
-)""",
+        _OFFS,
         select="select read_idx, win_off, md5(substr(seq, win_off + 1, 2000)) as win_seq from offs",
     ),
+    "window_records": _with(
+        _READS,
+        _OFFS,
+        select="select read_idx, md5('>read' || read_idx || '_W' || win_off || chr(10) || substr(seq, win_off + 1, 2000)) as record from offs",
+    ),
     "digest_monomers": _with(*_PLAIN, select=_MONOMER_ROWS),
     "digest_monomers_dup": _with(*_DUP, select=_MONOMER_ROWS),
     "digest_pairs_all": _with(*_PLAIN, _pairs_sql("all"), select=_PAIR_ROWS),
@@ -285,6 +309,15 @@ offs as (
     "monomer_records": _with(*_PLAIN, select=f"""select read_idx, md5({_RECORD.format(name="'_' || beg || '_' || \"end\"", seq="seq")}) as record from monomers"""),
     "alignments": _with(_READS, _ALIGN, select="select read_idx, win_off, q_start, q_end, strand, target_id, t_start, cigar from alignments"),
     "cigar_blocks": _with(_READS, _ALIGN, _BLOCKS, select="select read_idx, strand, target_id, q1, q2, t1, t2 from blocks"),
+    "paf_blocks": _with(
+        _READS,
+        _ALIGN,
+        _BLOCKS.replace("from alignments", "from alignments where t_start % 3 <> 0"),
+        select="""select read_idx, strand, target_id, q1, q2, t1, t2 from blocks union all
+select read_idx, strand, target_id, q_start, q_end, t_start,
+  t_start + cast(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[MDN]', 1), lambda x: cast(x as bigint))) as bigint)
+from alignments where t_start % 3 = 0""",
+    ),
     "merged_blocks": _with(_READS, _ALIGN, _BLOCKS, _MERGED, select="select read_idx, q_start, q_end, target_id from merged"),
     "reads_with_blocks": _with(_READS, _ALIGN, _BLOCKS, _MERGED, select="select count(distinct read_idx) as reads, count(*) as blocks from merged"),
     "sites_final": _with(*_GUIDED, select=_SITE_ROWS),

@@ -17,7 +17,8 @@ def split_alignments(alignments: DataFrame, max_gap: int = 50) -> DataFrame:
 
     A block ends at an insertion, deletion or skip of at least ``max_gap``. The query moves on M, =, X and
     I, the target on M, =, X, D and N; on the minus strand the query runs down from its end. Window
-    offsets are added; blocks without query bases are dropped.
+    offsets are added; blocks without query bases are dropped. An alignment whose CIGAR is null or empty is one block from
+    its ends, for which there must be a column ``t_end``.
     """
     zero = F.lit(0).cast("bigint")
     block = "array<struct<a:bigint,b:bigint,c:bigint,d:bigint>>"
@@ -34,6 +35,9 @@ def split_alignments(alignments: DataFrame, max_gap: int = 50) -> DataFrame:
         return F.struct(q.alias("q"), t.alias("t"), F.when(big, q).otherwise(a["q0"]).alias("q0"), F.when(big, t).otherwise(a["t0"]).alias("t0"), F.when(big, closed(a)).otherwise(a["done"]).alias("done"))
 
     blocks = F.aggregate(cigar_ops(F.col("cigar")), start, step, closed)
+    if "t_end" in alignments.columns:
+        ends = F.struct(zero.alias("a"), (F.col("q_end") - F.col("q_start")).alias("b"), zero.alias("c"), (F.col("t_end") - F.col("t_start")).alias("d"))
+        blocks = F.when(F.coalesce("cigar", F.lit("")) != "", blocks).when(F.col("q_end") > F.col("q_start"), F.array(ends))
     each = alignments.select("read_idx", "strand", "target_id", "t_start", (F.col("q_start") + F.coalesce("win_off", F.lit(0))).alias("qs"), (F.col("q_end") + F.coalesce("win_off", F.lit(0))).alias("qe"), F.explode(blocks).alias("b"))
     plus = F.col("strand") == "+"
     return each.select(

@@ -15,8 +15,9 @@ def pair(cuts: DataFrame, mode: str = "all") -> DataFrame:
     No shuffle: a read's pairs come from its own row. Its monomers are cut out once, not for every pair.
     """
     cut = F.transform("kept", lambda m: F.struct(*[cut_out(F.col(c), m["beg"], m["end"]).alias(c) for c in ("seq", "qual")]))
-    ready = cuts.where(F.size("kept") >= 2).select("read_idx", "read_id", cut.alias("own"))
-    each = ready.select("read_idx", "read_id", "own", F.explode(rank_pairs(F.size("own"), mode)).alias("p"))
+    ready = cuts.select("read_idx", "read_id", cut.alias("own"))
+    # reads without pairs go after the outer explode: a filter before it would work out the cuts again
+    each = ready.select("read_idx", "read_id", "own", F.explode_outer(rank_pairs(F.size("own"), mode)).alias("p")).where("p is not null")
     one, two = F.get("own", F.col("p.i") - 1), F.get("own", F.col("p.j") - 1)
     sides = [m[c].alias(f"r{k}_{c}") for k, m in ((1, one), (2, two)) for c in ("seq", "qual")]
     return each.select("read_idx", "read_id", F.col("p.i").cast("bigint").alias("i"), F.col("p.j").cast("bigint").alias("j"), *sides)

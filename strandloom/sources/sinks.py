@@ -42,6 +42,17 @@ def write_monomers(monomers: DataFrame, path: str, compression: str = "gzip") ->
     monomer_records(monomers).select("record").write.mode("overwrite").text(path, compression=compression)
 
 
+def window_records(windows: DataFrame) -> DataFrame:
+    """(read_idx, record): a FASTA record for each window, named ``<read>_W<offset>``, from which ``read_paf`` takes the offset back."""
+    name = F.concat(F.lit(">"), F.col("read_id"), F.lit("_W"), F.col("win_off").cast("string"))
+    return windows.select("read_idx", F.concat(name, F.lit("\n"), F.col("win_seq")).alias("record"))
+
+
+def write_windows(windows: DataFrame, path: str, compression: str = "gzip") -> None:
+    """What an aligner gets as its queries."""
+    window_records(windows).select("record").write.mode("overwrite").text(path, compression=compression)
+
+
 def write_sites(sites_final: DataFrame, path: str, compression: str = "gzip") -> None:
     """The seven columns, separated by tabs, sorted within each file."""
     columns = ["read_idx", "len", "motif_start", "motif_end", "x", "span", "class"]

@@ -209,10 +209,23 @@ def test_fasta_and_paf(spark, tmp_path):
     assert sorted((r["read_id"], r["seq"]) for r in fasta.collect()) == [("a", "ACGT"), ("b", "GG")] and total_bases(fasta) == 6
     line = "a_W1750\t2000\t10\t20\t-\thifi1\t900\t5\t15\t10\t10\t60\ttp:A:P\tcg:Z:10M\n"
     (tmp_path / "x.paf").write_text(line + line.replace("cg:Z:10M", "zz:Z:1"))
-    (row,) = on_reads(read_paf(spark, str(tmp_path / "x.paf")), reads(spark, "A").withColumn("read_id", F.lit("a"))).collect()
+    row, plain = on_reads(read_paf(spark, str(tmp_path / "x.paf")), reads(spark, "A").withColumn("read_id", F.lit("a"))).orderBy(F.col("cigar").isNull()).collect()
     assert (row["read_idx"], row["win_off"], row["q_start"], row["strand"], row["target_id"], row["t_start"], row["cigar"]) == (0, 1750, 10, "-", "hifi1", 5, "10M")
+    assert (plain["cigar"], plain["t_end"]) == (None, 15)
 
 
+def test_alignments_without_cigar(spark):
+    rows = [(0, 100, 10, 30, "-", "h", 5, 26, None), (0, 0, 10, 30, "+", "h", 5, 26, ""), (0, 0, 7, 7, "+", "h", 5, 5, None), (0, 0, 0, 20, "-", "h", 0, 80, "5S10=60N2X3P8=4H")]
+    df = spark.createDataFrame(rows, ALIGN.replace("cigar", "t_end bigint, cigar"))
+    assert sorted((r["q1"], r["q2"], r["t1"], r["t2"]) for r in split_alignments(df, 50).collect()) == [(0, 10, 70, 80), (10, 20, 0, 10), (10, 30, 5, 26), (110, 130, 5, 26)]
+
+
+def test_digest_plans_work_each_expression_out_once(spark):
+    d = Digest(reads(spark, "AACATGTTTTCATGGG"), DigestConfig(min_mono_len=3))
+    for df in (d.monomers, d.pairs):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") <= 2 and plan.count("aggregate(") <= 2
+
 def test_outputs(spark, tmp_path):
     d = Digest(reads(spark, "AACATGTTTTCATGGG", "TTT"), DigestConfig(min_mono_len=3, dup_motif=True))
     sinks.write_pairs(d.pairs, str(tmp_path / "pairs"))
