@@ -94,19 +94,20 @@ def sketches(df: DataFrame, words: int, key: str, text: str) -> DataFrame:
     kind = df.schema[key].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
         for batch in batches:
-            n, keys, groups, bits = [], [], [], []
-            for t in batch.column(1):
-                found = shingles(t.as_py(), words)
-                n.append(len(found))
-                keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                groups.append(group_hashes(found).view(np.int64).tolist() if len(found) else None)
-                bits.append(bit_map(found).tolist() if len(found) else None)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, longs), pa.array(bits, longs)],
-                names=["node", "n_shingles", "set_key", "groups", "bits"],
-            )
+            for part in c.small_parts(batch, 1, TEXTS_AT_ONCE):
+                n, keys, groups, bits = [], [], [], []
+                for t in part.column(1):
+                    found = shingles(t.as_py(), words)
+                    n.append(len(found))
+                    keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+                    groups.append(group_hashes(found).view(np.int64) if len(found) else None)
+                    bits.append(bit_map(found) if len(found) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, longs), pa.array(bits, longs)],
+                    names=["node", "n_shingles", "set_key", "groups", "bits"],
+                )
 
     schema = f"node {kind}, n_shingles bigint, set_key binary, groups array<bigint>, bits array<bigint>"
     return df.select(key, text).mapInArrow(sketch, schema)
