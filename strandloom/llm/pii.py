@@ -263,7 +263,7 @@ def entities(df: DataFrame, text: str = "text") -> DataFrame:
 
     Initials are left out: there are too few letters for surrogates of their own.
     """
-    each = df.select(F.explode(_found(F.col(text))).alias("found")).select(F.explode(_parts(F.col("found"))).alias("e"))
+    each = df.select(F.explode_outer(_found(F.col(text))).alias("found")).where("found is not null").select(F.explode(_parts(F.col("found"))).alias("e"))
     return each.select("e.kind", "e.entity").where("kind <> 'initial'").distinct()
 
 
@@ -343,7 +343,9 @@ def replace(df: DataFrame, secret: str, text: str = "text", count: str = "n_enti
     given = None
     if not again.isEmpty():
         # surrogates by text: only texts that hold an entity with more than one attempt
-        holds = df.select(F.col(text).alias("t")).where(F.col("t").rlike(HINT)).select(F.sha2("t", 256).alias("hash"), F.explode(_found(F.col("t"))).alias("found")).distinct()
+        # the hash is made before the rows of a text are many, and an outer explode doesn't search the text for a filter as well
+        holds = df.select(F.col(text).alias("t")).where(F.col("t").rlike(HINT)).select(F.sha2("t", 256).alias("hash"), _found(F.col("t")).alias("found"))
+        holds = holds.select("hash", F.explode_outer("found").alias("found")).where("found is not null").distinct()
         holds = holds.select("hash", F.explode(_parts(F.col("found"))).alias("e")).select("hash", F.concat_ws(":", "e.kind", "e.entity").alias("name")).distinct()
         wanted = holds.join(c.maybe_broadcast(again), "name").groupBy("hash").agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias("given"))
         rows = rows.withColumn("hash", F.sha2("t", 256)).join(c.maybe_broadcast(c.materialise(wanted, "given")), "hash", "left")
