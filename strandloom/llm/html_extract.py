@@ -2,7 +2,7 @@
 
 A page becomes lines, one for each block of text, with the text-to-tag ratio of each. The ratios are
 smoothed with a Gaussian, lines above a threshold are seeds, and the regions (the innermost
-sectioning elements, or the whole article) that hold a seed are content. Menus, forms, adverts
+sectioning elements) that hold a seed are content; within an article so are regions that aren't mostly links. Menus, forms, adverts
 and the like, known by their elements and roles, are never content. What only a class name, an id or <form> marks
 isn't either, unless the page's article or most of its text is in there.
 """
@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html import unescape
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,7 @@ ARTICLE = {"article", "main"}
 MARKED = {"form"}
 SECTIONS = set("html body div section article main ul ol dl table tbody tr td th blockquote figure details fieldset center".split()) | DROPPED | MARKED
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "dialog", "alert", "form"}
 # Words of class names and ids that mark what isn't the article.
@@ -35,12 +39,18 @@ OTHER_WORDS = COMMENT_WORDS | set(
     "notices alert sidebar widget menu nav navbar navigation breadcrumb breadcrumbs masthead header footer share sharing social related "
     "recommended newsletter subscribe signup login popup modal pagination pager".split()
 )
+# Parts of a class name that say where or what kind of box it is; with them alone it marks nothing.
+PLACE_WORDS = set("left right top bottom area block body box container content inner item items list main outer page section site slot text unit user reader wrap wrapper".split())
 #: Lines to each side that smoothing reaches, and its spread.
 REACH, SIGMA = 2, 1.0
 #: A region is a menu if more than this part of its characters are in links.
 LINKED = 0.6
 #: Characters given to the parser at a time.
 FEED = 1 << 20
+#: Unclosed tags that are read on from behind as text, before the rest of the page is cut at its tags by a pattern.
+RECOVERIES = 16
+#: Marked elements within each other that are told apart; deeper ones belong to the last of these.
+DEEPEST = 32
 
 
 @dataclass
@@ -55,46 +65,91 @@ class Line:
     linked: int = 0
 
 
+class Open(NamedTuple):
+    """An open element: its name, and what it says of the lines in it."""
+
+    tag: str = ""
+    region: int = 0
+    inside: bool = False
+    dropped: bool = False
+    mark: int = 0
+    #: The header of an article: only headings in it are content.
+    header: bool = False
+    #: Not a sectioning element, opened in a paragraph, so that the paragraph's end closes it.
+    in_paragraph: bool = False
+
+
 class Blocks(HTMLParser):
     """Collects the lines of a page from start, end and text events."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        #: Open elements: name, region, whether in an article, whether dropped, innermost marked element.
-        self.open: list[tuple[str, int, bool, bool, int]] = []
-        #: For each marked element the one around it; 0 is the page.
+        #: Open sectioning elements, and others that are dropped or marked; how many of each name are open.
+        self.open: list[Open] = []
+        self.names: Counter[str] = Counter()
+        #: For each marked element the one around it, and how many there are around it; 0 is the page.
         self.marks = [0]
+        self.depths = [0]
         self.regions = 0
         self.links = 0
+        self.paragraph = False
         self._line()
 
     def _line(self) -> None:
-        _, region, inside, dropped, mark = self.open[-1] if self.open else ("", 0, False, False, 0)
+        top = self.open[-1] if self.open else Open()
         last = self.lines[-1] if self.lines else None
         if last is not None and not last.parts:
-            last.region, last.inside, last.dropped, last.mark = region, inside, dropped, mark
+            last.region, last.inside, last.dropped, last.mark = top.region, top.inside, top.dropped, top.mark
         else:
-            self.lines.append(Line(region, inside, dropped, mark))
+            self.lines.append(Line(top.region, top.inside, top.dropped, top.mark))
+
+    def _close(self, size: int) -> None:
+        """Close open elements until ``size`` are left."""
+        for x in self.open[size:]:
+            self.names[x.tag] -= 1
+        del self.open[size:]
+
+    def _end_paragraph(self) -> None:
+        """The start or end of a block ends a paragraph, and with it a marked <p> and what is open in there."""
+        size = len(self.open)
+        while size and self.open[size - 1].in_paragraph:
+            size -= 1
+        self._close(size)
+        self.paragraph = False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in INLINE:
-            self.lines[-1].tags += 1
-            self.links += tag == "a"
-            return
-        if tag in SECTIONS and tag not in VOID:
-            _, region, inside, dropped, mark = self.open[-1] if self.open else ("", 0, False, False, 0)
-            dropped = dropped or tag in DROPPED or self._unwanted(attrs)
-            marked = not dropped and (tag in MARKED or self._marked(tag, attrs))
-            if marked:
+        inline = tag in INLINE
+        if not inline and tag not in VOID:
+            self._end_paragraph()
+            self.paragraph = tag == "p"
+        top = self.open[-1] if self.open else Open()
+        section = tag in SECTIONS and not inline
+        header = tag == "header" and top.inside and not top.dropped
+        unwanted = tag not in VOID and (self._unwanted(attrs) or (tag in DROPPED and not header))
+        marked = tag not in VOID and not unwanted and not top.dropped and not header and (tag in MARKED or self._marked(tag, attrs))
+        if tag not in VOID and (section or unwanted or marked or self.names[tag]):
+            region, mark = top.region, top.mark
+            dropped = top.dropped or unwanted or header
+            if marked and self.depths[mark] < DEEPEST:
                 self.marks.append(mark)
+                self.depths.append(self.depths[mark] + 1)
                 mark = len(self.marks) - 1
-            if not inside or dropped or marked:
+            if (section or unwanted or marked) and not header:
                 self.regions += 1
                 region = self.regions
-            self.open.append((tag, region, inside or (tag in ARTICLE and not dropped and not marked), dropped, mark))
+            inside = top.inside or (tag in ARTICLE and not dropped and not marked)
+            self.open.append(Open(tag, region, inside, dropped, mark, header and not top.dropped, not section and (self.paragraph or tag == "p")))
+            self.names[tag] += 1
+            inline = inline and not (unwanted or marked)
+        if inline:
+            self.lines[-1].tags += 1
+            self.links += tag == "a"
+            return
         self._line()
         self.lines[-1].tags += 1
+        if tag in HEADINGS and top.header and not (unwanted or marked):
+            self.lines[-1].dropped = False
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -102,15 +157,23 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in INLINE:
+        inline = tag in INLINE
+        if not inline and tag not in VOID:
+            self._end_paragraph()
+        closed = Open()
+        if self.names[tag]:
+            at = len(self.open) - 1
+            while self.open[at].tag != tag:
+                at -= 1
+            closed = self.open[at]
+            self._close(at)
+        top = self.open[-1] if self.open else Open()
+        if inline:
             self.links -= tag == "a" and self.links > 0
-            return
-        if tag in SECTIONS:
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == tag:
-                    del self.open[i:]
-                    self.links = 0
-                    break
+            if closed.region == top.region or not closed.tag:
+                return
+        elif tag in SECTIONS and closed.tag:
+            self.links = 0
         self._line()
 
     def handle_data(self, data: str) -> None:
@@ -134,9 +197,11 @@ class Blocks(HTMLParser):
     def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         for name, value in attrs:
             if name in ("class", "id") and tag not in ("html", "body", "main"):
-                words = set(re.split(r"[^a-z]+", (value or "").lower()))
-                if words & (COMMENT_WORDS if tag == "article" else OTHER_WORDS):
-                    return True
+                known = COMMENT_WORDS if tag == "article" else OTHER_WORDS
+                for token in (value or "").lower().split():
+                    parts = {x for x in re.split(r"[^a-z]+", token) if len(x) > 1}
+                    if parts & known and parts <= known | PLACE_WORDS:
+                        return True
         return False
 
 
@@ -192,6 +257,29 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(ratios, REACH, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def finish(parser: Blocks) -> None:
+    """Close the parser, in time linear in what an unclosed tag or comment has left unread.
+
+    An unclosed comment hides the rest of the page, as the HTML standard says. An unclosed tag is text up to the next ``>``, as
+    in the parser's own ``close``; after RECOVERIES of them, all that looks like a tag is cut from the rest, which is one line.
+    """
+    for tried in range(RECOVERIES + 1):
+        rest = parser.rawdata
+        if parser.cdata_elem or not re.match(r"<[a-zA-Z/!?]", rest):
+            break
+        end = rest.find(">") + 1
+        if rest.startswith("<!"):
+            parser.rawdata = ""
+        elif not end or tried == RECOVERIES:
+            parser.rawdata = ""
+            parser.handle_data(unescape(re.sub(r"<[^<>]*>", " ", rest)))
+        else:
+            parser.rawdata = rest[end:]
+            parser.handle_data(unescape(rest[:end]))
+            parser.feed("")
+    parser.close()
+
+
 def extract(html: str | None) -> str:
     """The main text: blocks in page order, white space made single spaces; empty if there is none."""
     if not html:
@@ -199,7 +287,7 @@ def extract(html: str | None) -> str:
     parser = Blocks()
     for at in range(0, len(html), FEED):
         parser.feed(html[at : at + FEED])
-    parser.close()
+    finish(parser)
     texts, lines = [], []
     for line in parser.lines:
         text = " ".join("".join(line.parts).split())
@@ -222,9 +310,14 @@ def extract(html: str | None) -> str:
             chars[x.region] = chars.get(x.region, 0) + len(texts[i])
             linked[x.region] = linked.get(x.region, 0) + x.linked
             best[x.region] = max(best.get(x.region, -math.inf), float(score[i]))
-    usable = [r for r in chars if linked[r] <= LINKED * chars[r]] or list(chars)
+    prose = [r for r in chars if linked[r] <= LINKED * chars[r]]
     threshold = float(score.std())
-    chosen = {r for r in usable if best[r] >= threshold} or {max(usable, key=lambda r: (chars[r], -r))}
+    if in_article:
+        # an article's regions are content, but for lists of links with as little text for their tags as a menu
+        chosen = set(prose) | {r for r in chars if best[r] >= threshold} or set(chars)
+    else:
+        usable = prose or list(chars)
+        chosen = {r for r in usable if best[r] >= threshold} or {max(usable, key=lambda r: (chars[r], -r))}
     return " ".join(t for t, x, c in zip(texts, lines, candidate, strict=True) if c and x.region in chosen)
 
 
