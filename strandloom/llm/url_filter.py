@@ -11,12 +11,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandloom.llm import _common as c
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Labelled URLs that trees are fitted on, about, at most: half of them for each label.
 SAMPLE = 20_000
+#: Parts of the labelled rows; a row's suffix statistics for fitting come from the other parts.
+FOLDS = 5
 
 # Words in a host that mark it as unwanted, the seed labels of the production query.
 SEED_WORDS = ("adult", "bets", "casino", "pills", "porn", "spam", "viagra", "warez", "xxx")
@@ -122,31 +125,49 @@ class Model:
     base_rate: float
 
 
-def suffix_statistics(rows: DataFrame, label: str = "label") -> DataFrame:
+def suffix_statistics(rows: DataFrame, label: str = "label", fold: Column | None = None) -> DataFrame:
     """(suffix, n, blocked) for every suffix of one to three labels, over all labelled rows.
 
-    A grouping with a partial step, so a host with a third of the rows is one row for each task.
+    With ``fold``, (suffix, fold, n, blocked): the counts of all rows but those of the fold.
+    A grouping with a partial step, so a host with a third of the rows is a few rows for each task; a suffix has a row for each fold.
     """
-    each = rows.select(F.explode(F.array_distinct(F.array("suffix1", "suffix2", "suffix3"))).alias("suffix"), F.col(label).cast("long").alias("y"))
-    return each.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("blocked"))
+    by = [] if fold is None else ["fold"]
+    suffixes = F.array_distinct(F.array("suffix1", "suffix2", "suffix3"))
+    each = rows.select(F.explode(suffixes).alias("suffix"), F.col(label).cast("long").alias("y"), *([] if fold is None else [fold.alias("fold")]))
+    counts = each.groupBy("suffix", *by).agg(F.count("*").alias("n"), F.sum("y").alias("blocked"))
+    if fold is None:
+        return counts
+    whole = Window.partitionBy("suffix")
+    others = lambda x: (F.sum(x).over(whole) - F.col(x)).alias(x)
+    return counts.select("suffix", "fold", others("n"), others("blocked"))
 
 
 def with_suffixes(rows: DataFrame, suffixes: DataFrame, base_rate: float) -> DataFrame:
-    """Add the share of blocked URLs, smoothed towards the base rate, and the log count of each suffix."""
+    """Add the share of blocked URLs, smoothed towards the base rate, and the log count of each suffix.
+
+    Statistics with a ``fold`` are joined on that of the rows, too.
+    """
     small = c.size_of(suffixes) <= c.BROADCAST_BYTES
+    by = [x for x in suffixes.columns if x == "fold"]
     for k in (1, 2, 3):
-        s = suffixes.select(F.col("suffix").alias(f"suffix{k}"), F.col("n").alias("_n"), F.col("blocked").alias("_b"))
-        rows = rows.join(F.broadcast(s) if small else s, f"suffix{k}", "left")
+        s = suffixes.select(F.col("suffix").alias(f"suffix{k}"), F.col("n").alias("_n"), F.col("blocked").alias("_b"), *by)
+        rows = rows.join(F.broadcast(s) if small else s, [f"suffix{k}", *by], "left")
         n, b = F.coalesce("_n", F.lit(0)), F.coalesce("_b", F.lit(0))
         rate = (b + F.lit(base_rate * 5)) / (n + F.lit(5.0))
         rows = rows.withColumns({f"suffix{k}_rate": rate.cast("double"), f"suffix{k}_log_count": F.log1p(n.cast("double"))}).drop("_n", "_b")
     return rows
 
 
+def _fold(column: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("url-fold"), F.col(column)), F.lit(FOLDS))
+
+
 def fit(labelled: DataFrame, url: str = "url", label: str = "label", sample: int = SAMPLE, trees: int = 10, depth: int = 4) -> Model:
     """Learn from URLs with a 0/1 ``label``; rows with a null in either are left out.
 
-    Suffix statistics cover all labelled rows. The trees are fitted on about ``sample`` distinct URLs at most, drawn by a
+    Suffix statistics cover all labelled rows. No row is fitted on statistics that count its own label: each is used twice, with half the
+    weight, once with the counts of the other folds of URLs (as of a known site) and once with those of the other folds of
+    sites, of one to three labels (as of a site that has no labelled URL, where the lexical features must tell). The trees are fitted on about ``sample`` distinct URLs at most, drawn by a
     hash of the URL: about half for each label, or all that a label has. A URL weighs as many rows as it has under its label, divided by
     the part of the label's URLs that were drawn, so that labels and repeats count as in all rows.
     A label that is the same everywhere gives its rate as every score.
@@ -168,8 +189,12 @@ def fit(labelled: DataFrame, url: str = "url", label: str = "label", sample: int
     kept = [x for x in drawn.columns if x not in ("url", "label")]
     drawn = drawn.groupBy("url", "label").agg(F.count("*").alias("_rows"), *[F.first(x).alias(x) for x in kept])
     drawn = drawn.withColumn("_weight", F.col("_rows") / of_label(share))
-    drawn = with_suffixes(drawn, suffixes, size["rate"])
-    drawn = c.materialise(drawn.select("label", "_weight", *LEXICAL, *SUFFIX), "url-sample")
+    drawn = c.materialise(drawn.withColumn("_weight", F.col("_weight") / 2), "url-sample")
+    views = []
+    for by in ("url", "suffix3"):
+        others = c.materialise(suffix_statistics(rows, fold=_fold(by)), "url-suffixes-of-other-folds")
+        views.append(with_suffixes(drawn.withColumn("fold", _fold(by)), others, size["rate"]).select("label", "_weight", *LEXICAL, *SUFFIX))
+    drawn = c.materialise(views[0].unionByName(views[1]), "url-views")
     columns = [*LEXICAL, *SUFFIX]
     stages = [
         VectorAssembler(inputCols=columns, outputCol="_features"),
