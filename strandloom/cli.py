@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 from dataclasses import asdict
 
 from pyspark.sql import SparkSession
@@ -14,15 +15,18 @@ from pyspark.sql import SparkSession
 from strandloom.config import DigestConfig, GuidedConfig, from_environment
 from strandloom.plans.digest import Digest
 from strandloom.plans.guided import Guided
-from strandloom.plans.manifest import Manifest
+from strandloom.plans.manifest import Manifest, clock
 from strandloom.sources import sinks
 from strandloom.sources.fastq import read_fastq
 from strandloom.sources.paf import on_reads, read_paf
 
 
 def run_digest(spark: SparkSession, reads_path: str, out: str, config: DigestConfig) -> None:
-    """Pairs, monomers if asked for, and statistics, which are written last."""
+    """Pairs, monomers if asked for, and statistics, which are written last. Reads are parsed and cut once, in a stage that a later run takes up."""
     d = Digest(read_fastq(spark, reads_path), config)
+    cuts = d.cuts
+    cutting = {k: v for k, v in asdict(config).items() if k not in ("pair_mode", "write_monomers")}
+    d.use_cuts(Manifest(spark, f"{out}/stages").stage("cuts", lambda: cuts, path=reads_path, **cutting))
     sinks.write_pairs(d.pairs, f"{out}/pairs")
     if config.write_monomers:
         sinks.write_monomers(d.monomers, f"{out}/monomers")
@@ -59,10 +63,12 @@ def main(args: list[str] | None = None) -> None:
     a = parser.parse_args(args)
     logging.basicConfig(level=logging.INFO, format="[%(asctime)s] %(message)s")
     spark = SparkSession.builder.appName(f"strandloom {a.command}").getOrCreate()
+    began = time.time()
     if a.command == "digest":
         run_digest(spark, a.reads, a.out, from_environment(DigestConfig))
     else:
         run_guided(spark, a.reads, a.alignments, a.out, from_environment(GuidedConfig))
+    logging.getLogger(__name__).info("done in %s", clock(time.time() - began))
 
 
 if __name__ == "__main__":

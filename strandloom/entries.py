@@ -12,10 +12,12 @@ from strandloom.functions.motif import motif_regex, reverse_complement_of
 from strandloom.operators import cigar, merge, protect, sites, stats, windows
 from strandloom.plans.digest import Digest
 from strandloom.plans.guided import Guided
+from strandloom.plans.manifest import Manifest
 from strandloom.scratch import scratch
 from strandloom.sources.derived import BASES, LETTERS, derived_alignments, derived_reads
+from strandloom.sources.fastq import read_fasta, read_fastq
 from strandloom.sources.paf import on_reads, read_paf
-from strandloom.sources.sinks import monomer_records, pair_records, window_records
+from strandloom.sources.sinks import monomer_records, pair_records, window_records, write_monomers, write_pairs, write_sites, write_stats, write_windows
 from strandloom.streaming.digest_stream import streamed_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,71 @@ def _paf_blocks(spark: SparkSession, d: str) -> DataFrame:
     return cigar.split_alignments(on_reads(read_paf(spark, path), derived_reads(spark, d)), 50)
 
 
+def _fastq_files(spark: SparkSession, d: str) -> DataFrame:
+    """The reads as FASTQ files and back."""
+    path = scratch(spark, "fastq")
+    record = F.concat(F.lit("@"), "read_id", F.lit(" of the table\n"), "seq", F.lit("\n+\n"), "qual")
+    derived_reads(spark, d).select(record.alias("value")).write.text(path)
+    return _hashed(read_fastq(spark, path).drop("read_idx"), "seq", "qual")
+
+
+def _fasta_files(spark: SparkSession, d: str) -> DataFrame:
+    """The reads as FASTA files with lines of 60 letters, and back."""
+    path = scratch(spark, "fasta")
+    record = F.concat(F.lit(">"), "read_id", F.lit("\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))
+    derived_reads(spark, d).select(record.alias("value")).write.text(path)
+    return _hashed(read_fasta(spark, path), "seq")
+
+
+def _pair_files(spark: SparkSession, d: str) -> DataFrame:
+    """Both sides of the paired files, read back."""
+    path = scratch(spark, "pairs")
+    write_pairs(_digest()(spark, d).pairs, path)
+    sides = [read_fastq(spark, f"{path}/side={k}") for k in (1, 2)]
+    return _hashed(sides[0].unionByName(sides[1]).select("read_id", "seq", "len"), "seq")
+
+
+def _monomer_files(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "monomers")
+    write_monomers(_digest()(spark, d).monomers, path)
+    return _hashed(read_fastq(spark, path).select("read_id", "seq", "len"), "seq")
+
+
+def _window_files(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "windows")
+    write_windows(windows.split_windows(derived_reads(spark, d), keep=("read_id",)), path)
+    return _hashed(read_fasta(spark, path), "seq")
+
+
+def _sites_file(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "sites")
+    write_sites(_guided(spark, d).sites_final, path)
+    kept = "read_idx bigint, len bigint, motif_start bigint, motif_end bigint, x bigint, span bigint, class string"
+    return spark.read.csv(path, sep="\t", schema=kept)
+
+
+def _stats_file(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "stats")
+    write_stats(_digest()(spark, d).stats, path)
+    return spark.read.csv(path, sep="\t", header=True, schema="metric string, value bigint")
+
+
+def _resumed_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Interior sites as a second run finds them: kept by the first."""
+    path = scratch(spark, "stages")
+    make = lambda: _sites("CATG", 4, True, False, True)(spark, d)
+    Manifest(spark, path).stage("sites", make, motif="CATG")
+    return Manifest(spark, path).stage("sites", lambda: make().limit(0), motif="CATG")
+
+
+def _stage_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the stages of reads and their windows, from the manifest."""
+    m = Manifest(spark, scratch(spark, "stages"))
+    reads = m.stage("reads", lambda: derived_reads(spark, d))
+    m.stage("windows", lambda: windows.split_windows(reads))
+    return m.counts()
+
+
 def _records(df: DataFrame) -> DataFrame:
     return df.select("read_idx", F.md5("record").alias("record"))
 
@@ -93,6 +160,15 @@ QUERIES: dict[str, Query] = {
     "cigar_blocks": _blocks,
     "paf_blocks": _paf_blocks,
     "window_records": lambda s, d: _records(window_records(windows.split_windows(derived_reads(s, d), keep=("read_id",)))),
+    "fastq_files": _fastq_files,
+    "fasta_files": _fasta_files,
+    "pair_files": _pair_files,
+    "monomer_files": _monomer_files,
+    "window_files": _window_files,
+    "sites_file": _sites_file,
+    "stats_file": _stats_file,
+    "resumed_sites": _resumed_sites,
+    "stage_counts": _stage_counts,
     "merged_blocks": lambda s, d: merge.merge_blocks(_blocks(s, d), 50),
     "reads_with_blocks": lambda s, d: merge.merge_blocks(_blocks(s, d), 50).agg(F.count_distinct("read_idx").alias("reads"), F.count("*").alias("blocks")),
     "sites_final": lambda s, d: _guided(s, d).sites_final,
@@ -318,6 +394,23 @@ select read_idx, strand, target_id, q_start, q_end, t_start,
   t_start + cast(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[MDN]', 1), lambda x: cast(x as bigint))) as bigint)
 from alignments where t_start % 3 = 0""",
     ),
+    "fastq_files": _with(_READS, select="select 'read' || read_idx as read_id, md5(seq) as seq, len, md5(repeat('I', len)) as qual from reads"),
+    "fasta_files": _with(_READS, select="select 'read' || read_idx as read_id, md5(seq) as seq, len from reads"),
+    "pair_files": _with(
+        *_PLAIN,
+        _pairs_sql("all"),
+        select=" union all ".join(
+            f"select 'read' || read_idx || ':' || i || '-' || j || '/{k}' as read_id, md5(r{k}_seq) as seq, cast(length(r{k}_seq) as bigint) as len from pairs" for k in (1, 2)
+        ),
+    ),
+    "monomer_files": _with(*_PLAIN, select="""select 'read' || read_idx || '_' || beg || '_' || "end" as read_id, md5(seq) as seq, "end" - beg as len from monomers"""),
+    "window_files": _with(
+        _READS, _OFFS, select="select 'read' || read_idx || '_W' || win_off as read_id, md5(substr(seq, win_off + 1, 2000)) as seq, cast(length(substr(seq, win_off + 1, 2000)) as bigint) as len from offs"
+    ),
+    "sites_file": _with(*_GUIDED, select=_SITE_ROWS),
+    "stats_file": _with(*_PLAIN, _pairs_sql("all"), _COUNTS, select=_stats_sql(stats.DIGEST)),
+    "resumed_sites": _with(_READS, _sites_sql("CATG", 4, True), select=_ALL_SITES),
+    "stage_counts": _with(_READS, _OFFS, select="select 'reads' as name, count(*) as value from reads union all select 'windows', count(*) from offs"),
     "merged_blocks": _with(_READS, _ALIGN, _BLOCKS, _MERGED, select="select read_idx, q_start, q_end, target_id from merged"),
     "reads_with_blocks": _with(_READS, _ALIGN, _BLOCKS, _MERGED, select="select count(distinct read_idx) as reads, count(*) as blocks from merged"),
     "sites_final": _with(*_GUIDED, select=_SITE_ROWS),

@@ -39,15 +39,29 @@ def reverse_complement_of(seq: Column) -> Column:
     return F.reverse(F.translate(seq, codes + codes.lower(), to + to.lower()))
 
 
+#: Running sums are built in slices of this many values: appending to an array copies it.
+SLICE = 256
+
+
 def _ends(pieces: Column, gap: int) -> Column:
-    """The end of each piece but the last, where ``gap`` characters stand between pieces."""
-    start = F.struct(F.array().cast("array<bigint>").alias("ends"), F.lit(0).cast("bigint").alias("at"))
+    """The end of each piece but the last, where ``gap`` characters stand between pieces; time in proportion to their number."""
+    done = F.array(F.struct(F.array().cast("array<bigint>").alias("ends"), F.lit(0).cast("bigint").alias("at")))
 
     def step(a: Column, p: Column) -> Column:
         end = a["at"] + F.length(p)
         return F.struct(F.concat(a["ends"], F.array(end)).alias("ends"), (end + gap).alias("at"))
 
-    return F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), start, step, lambda a: a["ends"])
+    def add_slice(done: Column, own: Column) -> Column:
+        start = F.struct(F.array().cast("array<bigint>").alias("ends"), F.element_at(done, -1)["at"].alias("at"))
+        return F.concat(done, F.array(F.aggregate(own, start, step)))
+
+    def all_ends(p: Column) -> Column:
+        n = F.size(p) - 1
+        own = F.transform(F.sequence(F.lit(0), F.floor(n / SLICE).cast("int")), lambda k: F.slice(p, k * SLICE + 1, F.least(n - k * SLICE, F.lit(SLICE))))
+        return F.flatten(F.transform(F.aggregate(own, done, add_slice), lambda x: x["ends"]))
+
+    # the array of one gives the pieces a name, so that they are worked out once
+    return F.transform(F.array(pieces), lambda p: F.when(p.isNotNull(), all_ends(p)))[0]
 
 
 def motif_starts(seq: Column, motif: str, overlap: bool = False, case_sensitive: bool = True) -> Column:

@@ -15,7 +15,11 @@ class Digest:
 
     def __init__(self, reads: DataFrame, config: DigestConfig | None = None):
         c = self.config = config or DigestConfig()
-        self.cuts = digest_cuts(reads, c.motif, c.cut_offset, c.dup_motif, c.min_mono_len)
+        self.use_cuts(digest_cuts(reads, c.motif, c.cut_offset, c.dup_motif, c.min_mono_len))
+
+    def use_cuts(self, cuts: DataFrame) -> None:
+        """Go on from these cuts, for instance from a kept stage's."""
+        self.cuts = cuts
 
     @property
     def monomers(self) -> DataFrame:

@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 
+def clock(seconds: float) -> str:
+    """Seconds as h:mm:ss."""
+    minutes, s = divmod(round(seconds), 60)
+    return f"{minutes // 60}:{minutes % 60:02d}:{s:02d}"
+
+
 class Manifest:
     """Named stages under one folder: each is a Parquet folder and, once it is whole, a line of the manifest.
 
@@ -40,10 +46,15 @@ class Manifest:
             make().write.mode("overwrite").parquet(where)
             line = {"rows": self.spark.read.parquet(where).count(), "seconds": round(time.time() - began, 3), "parameters": parameters}
             self.spark.range(1).select(F.lit(json.dumps(line)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{self.path}/manifest/{name}")
-            log.info("%s: %s rows in %.1f s", name, line["rows"], line["seconds"])
+            log.info("%s: %s rows in %s", name, line["rows"], clock(line["seconds"]))
         return self.spark.read.parquet(where)
 
     def count(self, name: str) -> int | None:
         """Rows of a whole stage, from its line."""
         line = self._line(name)
         return line and line["rows"]
+
+    def counts(self) -> DataFrame:
+        """(name, value): the rows of each whole stage of this folder."""
+        lines = self.spark.read.text(f"{self.path}/manifest/*").withColumn("name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+        return lines.select("name", F.get_json_object("value", "$.rows").cast("bigint").alias("value"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +25,28 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def _batch(file: int, lines: np.ndarray, value: pa.Array | None, fields: list[pa.Array] | None) -> pa.RecordBatch:
+    none = pa.nulls(len(lines), pa.string())
+    columns = [pa.array(np.full(len(lines), file, np.int64)), pa.array(lines), value if value is not None else none, *(fields or [none] * 4)]
+    return pa.RecordBatch.from_arrays(columns, ["file", "line", "value", "head", "seq", "plus", "qual"])
+
+
+def _loose(file: int, line: int, values: pa.Array) -> pa.RecordBatch:
+    """Lines of records that a block's border cuts, from the file's line ``line`` on."""
+    return _batch(file, line + np.arange(len(values), dtype=np.int64), values, None)
+
+
+def _whole(file: int, line: int, values: pa.Array) -> pa.RecordBatch:
+    """Records of four lines each."""
+    first = np.arange(0, len(values), 4, dtype=np.int64)
+    return _batch(file, line + first, None, [values.take(pa.array(first + k)) for k in range(4)])
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     """(read_idx, read_id, seq, qual, len) of four-line FASTQ records, in the order of file names and records.
 
     Lines are counted, not searched for ``@``, with which a quality may begin. A first pass counts the lines of each
-    block of each file; the driver gets those counts. So a large plain file is read by many tasks: each
+    block of each file; the driver gets those counts (a number a block) and broadcasts them. So a large plain file is read by many tasks: each
     knows which line of a record its block starts with, and passes on whole records as they are. Only the
     records that a block's border cuts are put together by a small grouping. A truncated record, a
     missing ``@`` or ``+``, and a quality of another length than its sequence fail the job.
@@ -40,37 +59,30 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
         first[r["path"], r["block"]] = (number[r["path"]], at.get(r["path"], 0))
         at[r["path"]] = at.get(r["path"], 0) + r["n"]
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, whole, pending = None, [], []
-
-        def close() -> None:
-            loose.extend((file, n, v, None, None, None, None) for file, n, v in pending)
-            pending.clear()
-
-        for pdf in batches:
-            loose: list = []
-            for name, block, value in zip(pdf["path"], pdf["block"], pdf["value"], strict=True):
-                if place is None or place[0] != (name, block):
-                    close()
-                    file, line = first[name, block]
-                    place = [(name, block), file, line]
-                file, line = place[1], place[2]
-                pending.append((file, line, value))
-                place[2] += 1
-                if line % 4 == 3:
-                    if len(pending) == 4:
-                        whole.append((file, line - 3, None, *[v for _, _, v in pending]))
-                        pending.clear()
-                    else:
-                        close()
-            yield pd.DataFrame(whole + loose, columns=["file", "line", "value", "head", "seq", "plus", "qual"])
-            whole = []
-        loose = []
-        close()
-        if loose:
-            yield pd.DataFrame(loose, columns=["file", "line", "value", "head", "seq", "plus", "qual"])
-
-    parts = _lines(spark, path).mapInPandas(split, _PARTS)
+    where = spark.sparkContext.broadcast(first)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, file, line, tail = None, 0, 0, pa.array([], pa.string())
+        for batch in batches:
+            names, blocks, values = batch.column("path"), batch.column("block").to_numpy(zero_copy_only=False), batch.column("value")
+            n = len(blocks)
+            new = (blocks[1:] != blocks[:-1]) | pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)
+            borders = [0, *(np.flatnonzero(new) + 1).tolist(), n] if n else []
+            for lo, hi in zip(borders, borders[1:]):
+                here = (names[lo].as_py(), int(blocks[lo]))
+                if here != place:
+                    yield _loose(file, line, tail)
+                    place, tail = here, tail[:0]
+                    file, line = where.value[here]
+                own = pa.concat_arrays([tail, values[lo:hi].cast(pa.string())])
+                skip = min(-line % 4, len(own))
+                yield _loose(file, line, own[:skip])
+                n_whole = (len(own) - skip) // 4
+                yield _whole(file, line + skip, own[skip : skip + 4 * n_whole])
+                tail, line = own[skip + 4 * n_whole :], line + skip + 4 * n_whole
+        yield _loose(file, line, tail)
+
+    parts = _lines(spark, path).mapInArrow(split, _PARTS)
     fields = ["head", "seq", "plus", "qual"]
     whole = parts.where("value is null").select("file", F.floor(F.col("line") / 4).alias("n"), *fields)
     cut = parts.where("value is not null").groupBy("file", F.floor(F.col("line") / 4).alias("n")).agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("own"))

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from strandloom import cli
 from strandloom.config import DigestConfig, GuidedConfig, from_environment
 from strandloom.functions.motif import check_motif, motif_starts, reverse_complement
 from strandloom.operators.cigar import split_alignments
@@ -15,7 +16,7 @@ from strandloom.operators.protect import class_summary, protect
 from strandloom.operators.windows import split_windows
 from strandloom.plans.digest import Digest
 from strandloom.plans.guided import Guided
-from strandloom.plans.manifest import Manifest
+from strandloom.plans.manifest import Manifest, clock
 from strandloom.sources import sinks
 from strandloom.sources.fastq import read_fasta, read_fastq, total_bases
 from strandloom.sources.paf import on_reads, read_paf
@@ -226,6 +227,7 @@ def test_digest_plans_work_each_expression_out_once(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("split(") <= 2 and plan.count("aggregate(") <= 2
 
+
 def test_outputs(spark, tmp_path):
     d = Digest(reads(spark, "AACATGTTTTCATGGG", "TTT"), DigestConfig(min_mono_len=3, dup_motif=True))
     sinks.write_pairs(d.pairs, str(tmp_path / "pairs"))
@@ -264,6 +266,39 @@ def test_manifest(spark, tmp_path):
     assert runs == ["one", "two"] * 2
 
 
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 700])
+def test_many_sites(spark, n):
+    got = reads(spark, "TT" + "CATGA" * n).select(motif_starts(F.col("seq"), "CATG").alias("x")).first()["x"]
+    assert got == [2 + 5 * i for i in range(n)]
+
+
+def test_null_sequence_has_no_places(spark):
+    assert spark.sql("select cast(null as string) as seq").select(motif_starts(F.col("seq"), "CATG").alias("x")).first()["x"] is None
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    seq = "A" * 30 + "CATG" + "T" * 40 + "CATG" + "G" * 30
+    (tmp_path / "r.fastq").write_text(f"@a x\n{seq}\n+\n{'I' * len(seq)}\n@b\nTTT\n+\nIII\n")
+    (tmp_path / "r.paf").write_text("".join(f"a\t{len(seq)}\t10\t60\t+\th{k}\t900\t10\t60\t50\t50\t60\tcg:Z:50M\n" for k in range(3)))
+    monkeypatch.setenv("WRITE_MONOMERS", "1")
+    out = tmp_path / "digest"
+    for _ in range(2):  # the second run takes up the first one's cuts
+        cli.main(["digest", str(tmp_path / "r.fastq"), str(out)])
+        monomers = read_fastq(spark, str(out / "monomers"))
+        assert sorted(r["read_id"] for r in monomers.collect()) == ["a_0_34", "a_34_78", "a_78_108"]
+    assert spark.read.csv(str(out / "stats"), sep="\t", header=True).where("metric = 'pairs'").first()["value"] == "3"
+    out = tmp_path / "guided"
+    cli.main(["guided", str(tmp_path / "r.fastq"), str(tmp_path / "r.paf"), str(out)])
+    sites = [tuple(r) for r in spark.read.csv(str(out / "sites_final"), sep="\t").collect()]
+    assert sites == [("0", "108", "30", "34", "34", "3", "P"), ("0", "108", "74", "78", "78", "0", "C")]
+    assert spark.read.text(str(out / "stats")).first()[0] == "2 3 1 2 1 1 1 1"
+    assert sorted(r["read_id"] for r in read_fastq(spark, str(out / "pairs" / "side=2")).collect()) == ["a:1-2/2"]
+
+
+def test_clock():
+    assert [clock(x) for x in (0, 59.6, 3661, 360000)] == ["0:00:00", "0:01:00", "1:01:01", "100:00:00"]
+
+
 def test_plans_do_not_shuffle_reads(spark):
     d = Digest(reads(spark, "AACATGTTTTCATGGG"), DigestConfig(min_mono_len=3))
     assert "Exchange" not in d.pairs._jdf.queryExecution().executedPlan().toString()
