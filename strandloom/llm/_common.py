@@ -129,6 +129,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with marks in front until no column of ``df`` has it."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once for a row, also where ``body`` has lambdas."""
     return F.transform(F.array(value), body)[0]

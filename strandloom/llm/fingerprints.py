@@ -121,8 +121,11 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     Next is the one with the next smaller key; the last one's is the first. Equal keys are in the order of their
     texts' hashes, null keys last. Keys are cut into ranges by approximate percentiles; whole texts
     are shuffled once, to their range, and the first document of a range also goes to the range
-    above, whose last one it follows. The driver sees a key for each range.
+    above, whose last one it follows. The driver sees a key for each range. A key that is no whole number is an error: it
+    couldn't be cut into ranges.
     """
+    if df.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"the key {key} must be a whole number, not {df.schema[key].dataType.simpleString()}")
     low = -(2**63)
     rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(low)).alias("order"), F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = min(BUCKETS, max(1, rows.count() // BUCKET_ROWS))

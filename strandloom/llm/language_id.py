@@ -199,7 +199,7 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (0 to 1) for each whole text; other columns stay.
+    """Add ``lang_pred`` and ``score`` (0 to 1) for each whole text; other columns stay, but ones of these two names are replaced.
 
     ``und`` and 0 if the text is null or has no letter. Equal texts get equal results.
     """
@@ -213,8 +213,9 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             found = [own.predict(t.as_py()) for t in batch]
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["lang_pred", "score"])
 
-    out = df.withColumn("_language", identify(F.col(text)))
-    return out.withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language")
+    found = c.unused(df, "_language")
+    out = df.withColumn(found, identify(F.col(text)))
+    return out.withColumns({"lang_pred": F.col(found)["lang_pred"], "score": F.col(found)["score"]}).drop(found)
 
 
 def train_split(df: DataFrame, key: str = "doc_id") -> DataFrame:

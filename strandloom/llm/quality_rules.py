@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.llm import _common as c
 from strandloom.llm._common import ASCII_SPACE, let
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -97,19 +98,20 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     Columns of the same names are replaced. Whole texts count, however long. No shuffle.
     """
     t = F.coalesce(F.col(text), F.lit(""))
+    by_word, by_line = c.unused(df, "_word_stats"), c.unused(df, "_line_stats")
     made = df.withColumns(
         {
-            "_word_stats": _stats(t),
-            "_line_stats": _line_counts(t),
+            by_word: _stats(t),
+            by_line: _line_counts(t),
             "n_symbols": F.regexp_count(t, F.lit(SYMBOLS)).cast("long"),
             "n_exclamations": F.regexp_count(t, F.lit("!")).cast("long"),
         }
     )
-    lines, words = F.col("_line_stats"), F.col("_word_stats")
+    lines, words = F.col(by_line), F.col(by_word)
     made = made.withColumns(
         {name: words[name] for name in ("n_words", "word_chars", "n_stop_words", "n_repeat_words")}
         | {"n_lines": lines["all"].cast("long"), "n_dup_lines": (lines["all"] - lines["distinct"]).cast("long")}
-    ).drop("_word_stats", "_line_stats")
+    ).drop(by_word, by_line)
     n = F.col("n_words")
     return made.withColumns(
         {

@@ -482,6 +482,25 @@ def test_fingerprints_of_few_rows(spark):
     assert fingerprints.compare(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == 4
 
 
+def test_fingerprint_query(spark):
+    rows = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    order = sorted(rows, reverse=True)
+    following = {x: rows[order[(i + 1) % len(order)]] for i, x in enumerate(order)}
+    got = {r["doc_id"]: r for r in entries.op10_spotsigs(spark, SF).collect()}
+    assert got.keys() == rows.keys()
+    for i, t in rows.items():
+        half = len(t) // 2
+        new = t[: len(t) - half] + following[i][:half]
+        assert (got[i]["n_chars"], got[i]["edited_sha256"]) == (len(t), hashlib.sha256(new.encode()).hexdigest())
+        assert got[i]["near_edited"] == pytest.approx(jaccard(spots(t), spots(new)))
+        assert got[i]["near_next"] == pytest.approx(jaccard(spots(t), spots(following[i])))
+
+
+def test_fingerprints_need_numbers_as_keys(spark):
+    with pytest.raises(TypeError):
+        fingerprints.compare(spark.createDataFrame([("a", "the cat")], "doc_id string, text string"))
+
+
 def test_similar(spark):
     rng = random.Random(8)
     texts = []

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import time
 
@@ -168,7 +169,7 @@ def test_language_edges(spark):
     rows = [(1, "the cat and the dog of the house", "en"), (2, "le chat et le chien de la maison", "fr"), (3, None, "en"), (4, "", "fr"), (5, "12 $$", "en"), (6, "der Hund", None), (None, "the dog", "en"), (1, "the cat", "en")]
     df = spark.createDataFrame(rows * 2, "doc_id bigint, text string, lang string").withColumns({"score": F.lit(2), "_language": F.lit(1)})
     got = language_id.predict(df, language_id.fit(language_id.train_split(df))).collect()
-    assert len(got) == 16
+    assert len(got) == 16 and all(r["_language"] == 1 for r in got)
     for r in got:
         assert (r["lang_pred"] == "und" and r["score"] == 0) == (r["text"] in (None, "", "12 $$"))
     none = language_id.fit(df.limit(0))
@@ -176,6 +177,73 @@ def test_language_edges(spark):
     assert language_id.predict(df.limit(0), none).count() == 0
 
 
+def plain_vector(text, idf):
+    """TF-IDF with whole numbers and a dictionary."""
+    mix, counts = [int(x) for x in language_id._MIX], {}
+    codes = [ord(x) for x in text.lower()]
+    for at in range(len(codes)):
+        rolling = 0
+        for k in range(min(language_id.ORDER, len(codes) - at)):
+            rolling = (rolling * mix[0] + codes[at + k] * mix[1] + k) % 2**32
+            f = ((rolling ^ (rolling >> 15)) * mix[2] % 2**32) >> 17
+            counts[f] = counts.get(f, 0) + 1
+    x = {f: (1 + math.log(n)) * idf[f] for f, n in counts.items()}
+    size = math.sqrt(sum(v * v for v in x.values()))
+    return {f: v / size for f, v in x.items()}
+
+
+def plain_ftrl(rows, n_classes, epochs):
+    """Follow the regularised leader, a number at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= language_id.L1:
+            return 0.0
+        return (math.copysign(language_id.L1, zi) - zi) / ((language_id.BETA + math.sqrt(n.get(i, 0.0))) / language_id.ALPHA + language_id.L2)
+
+    for _ in range(epochs):
+        for x, y in rows:
+            x = {**x, language_id.BUCKETS: 1.0}
+            w = {(f, k): weight((f, k)) for f in x for k in range(n_classes)}
+            scores = [math.exp(sum(v * w[f, k] for f, v in x.items())) for k in range(n_classes)]
+            for (f, k), own in w.items():
+                g = x[f] * (scores[k] / sum(scores) - (k == y))
+                before = n.get((f, k), 0.0)
+                n[f, k] = before + g * g
+                z[f, k] = z.get((f, k), 0.0) + g - (math.sqrt(n[f, k]) - math.sqrt(before)) / language_id.ALPHA * own
+    return {i: weight(i) for i in z}
+
+
+def test_language_model_by_plain_loops(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(s) for _ in range(rng.randint(1, 30))) for s in ["abc d", "bcé f", "\U0001f600xyz"] for _ in range(8)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts, n_rows = language_id.document_frequencies(df, "text")
+    every = [plain_vector(t, [1.0] * language_id.BUCKETS) for t in texts]
+    assert n_rows == len(texts) and all(counts[f] == sum(f in x for x in every) for x in every for f in x) and counts.sum() == sum(map(len, every))
+    idf = np.log((1 + n_rows) / (1 + counts)) + 1
+    plain = [plain_vector(t, idf) for t in texts]
+    for t, want in zip(texts, plain):
+        f, x = language_id.vector(t, idf)
+        assert dict(zip(f.tolist(), x.tolist())) == pytest.approx(want)
+    classes = [i // 8 for i in range(len(texts))]
+    got = language_id.ftrl([(*language_id.vector(t, idf), y) for t, y in zip(texts, classes)], 3, 2)
+    want = plain_ftrl(list(zip(plain, classes)), 3, 2)
+    dense = np.zeros_like(got)
+    for i, w in want.items():
+        dense[i] = w
+    assert np.allclose(got, dense) and (got == 0).mean() > 0.9
+    scores = np.array([language_id.logits(*language_id.vector(t, idf), got) for t in texts])
+    truth = np.array([y if i % 5 else (y + 1) % 3 for i, y in enumerate(classes)])  # some labels are wrong
+
+    def loss(t):
+        return -sum(math.log(language_id.softmax(s / t)[y]) for s, y in zip(scores, truth))
+
+    best = language_id.fit_temperature(scores, truth)
+    assert all(loss(best) <= loss(best * k) + 1e-6 for k in (0.5, 0.9, 0.99, 1.01, 1.1, 2.0))
+
+
 def test_language_features_are_blockwise_the_same(monkeypatch):
     t = "The quick brown fox. " * 50
     whole = language_id.features(t)
@@ -200,7 +268,8 @@ def test_quality_counts(spark):
     rng = random.Random(4)
     texts = [None, "", " \n\t ", "a b c a b c", "a a a a", "x\x0by\x0cz\r\n\r\nq", "l\nl\n\nl \nl", "# *é$", "é\xa0b c", "ABC"]
     texts += ["".join(rng.choice(["a", "b", "c", " ", "  ", "\n", "#"]) for _ in range(rng.randint(0, 90))) for _ in range(80)]
-    df = docs(spark, *texts).withColumns({"n_words": F.lit("x"), "kept": F.lit(1)})
+    df = docs(spark, *texts).withColumns({"n_words": F.lit("x"), "kept": F.lit(1), "_word_stats": F.lit(1), "_LINE_STATS": F.lit(2)})
+    assert set(df.columns) <= set(quality_rules.apply(df).columns)
     out = quality_rules.apply(df).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
     assert len(out) == len(texts)
     for r in out:
