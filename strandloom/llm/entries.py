@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, fingerprints, html_extract, language_id, near_dedup, packing, pii, quality_rules, token_store, url_filter
+from strandloom.llm import byte_bpe, fingerprints, html_extract, language_id, near_dedup, packing, pii, prefix_trie, quality_rules, suffix_dedup, token_store, url_filter, whitening
 from strandloom.llm._common import crc_remainder, scratch, table
 
 #: The key of the registered queries' surrogates; a user passes an own, secret one.
@@ -70,6 +70,18 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_byte_bpe": op2_byte_bpe,
@@ -81,9 +93,13 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_spotsigs": op10_spotsigs,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.oracle_sql(),
     "op5_minhash_dedup": near_dedup.oracle_sql(words=3, percent=85),
+    "op11_prefix_trie": prefix_trie.oracle_sql(),
 }
