@@ -356,8 +356,8 @@ def maximal_repeats(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, leng
     return place[array], stretch[array], depths, firsts, lasts
 
 
-def _partial(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """Repeats between the runs that ``asked`` names, in buckets of whole k-grams."""
+def _partial(docs: DataFrame, asked: DataFrame, length: int, links: bool) -> DataFrame:
+    """Repeats between the runs that ``asked`` names, in buckets of whole k-grams. Without ``links``, a run's repeated bytes come as few stretches."""
     n_buckets = max(LEAST_BUCKETS, asked.count() // SUFFIX_BUCKET)
     own = asked.groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "gram")).alias("runs"))
     cut = F.transform("runs", lambda r: F.struct(r["gram"].alias("gram"), r["lo"].alias("lo"), F.substring(F.col("data"), r["lo"] + 1, r["hi"] - r["lo"]).alias("body")))
@@ -381,6 +381,15 @@ def _partial(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
         head = rank[np.maximum.accumulate(np.where(new, np.arange(len(rank)), 0))] if len(rank) else rank
         rest, source = rank[~new], head[~new]
         at = lambda i: lo[of[i]] + each[i] - begins[of[i]]
+        if not links:
+            # a byte is repeated or not: what overlaps in a run is one stretch, however many intervals hold it
+            apart = np.int64(1 << 20)
+            rest = rest[np.lexsort((each[rest], of[rest]))]
+            start, reach = each[rest] + of[rest] * apart, np.maximum.accumulate(each[rest] + depth[group[rest]] + of[rest] * apart)
+            heads = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])) if len(rest) else rest
+            first_of, size = rest[heads], reach[np.append(heads[1:] - 1, len(rest) - 1)] - start[heads] if len(rest) else rest
+            none = pa.nulls(len(heads), pa.int64())
+            return pa.table({"key": pa.array(key[of[first_of]]), "lo": pa.array(at(first_of).astype(np.int32)), "hi": pa.array((at(first_of) + size).astype(np.int32)), "first_key": none, "first_lo": none.cast(pa.int32())})
         return pa.table(
             {
                 "key": pa.array(key[of[rest]]),
@@ -395,17 +404,18 @@ def _partial(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     return bodies.select(bucket.alias("bucket"), "key", "lo", "body").groupBy("bucket").applyInArrow(scan, _REPEATS)
 
 
-def find_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def find_repeats(docs: DataFrame, length: int = LENGTH, links: bool = True) -> DataFrame:
     """(key, lo, hi, first_key, first_lo): bytes lo to hi of a document of ``keyed`` repeat those that start at first_lo in an earlier place.
 
-    A group of equal stretches comes as its members after the first, each with a link to an earlier one. A long repeat
-    comes in overlapping stretches, run by run.
+    A maximal repeat comes as its occurrences after the first, each with a link to it. A long repeat comes in overlapping
+    stretches, run by run. Without ``links`` a run's overlapping occurrences are one row, whose link is null: the number of rows
+    follows the runs, and not how often repeats are nested in each other.
     """
     if length < 8:
         raise ValueError("length must be at least 8")
     found = _classes(docs, length)
     whole = found.where("gram is null").select("key", "lo", "hi", "first_key", "first_lo")
-    return whole.unionByName(_partial(docs, found.where("gram is not null").select("key", "lo", "hi", "gram"), length))
+    return whole.unionByName(_partial(docs, found.where("gram is not null").select("key", "lo", "hi", "gram"), length, links))
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, with_bytes: bool = False) -> DataFrame:
@@ -417,7 +427,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, with_bytes: bool = False)
     table gives no rows. Of equal rows all but one lose their text. Other columns aren't read.
     """
     rows = keyed(docs)
-    spans = find_repeats(rows, length).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
+    spans = find_repeats(rows, length, links=False).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
     joined = rows.join(spans, "key", "left").select("key", "doc_id", "data", F.col("found.lo").alias("lo"), F.col("found.hi").alias("hi"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
