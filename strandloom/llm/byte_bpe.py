@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 LONG = 65_536
 #: Where one character is not white space and the next is, every match of the pattern ends.
 SAFE = re.compile(r"\S(?=[ \t\r\n])")
+#: Unicode's white space, which is what the library's patterns mean by ``\\s``, in a run that the pattern engine may overflow on.
+_WHITE_RUN = re.compile(f"[ \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG},}}")
+_WHITE_RULE = r"\s+(?!\S)|\s+"
 
 
 @lru_cache(maxsize=4)
@@ -44,12 +47,29 @@ def safe_parts(text: str, size: int = LONG) -> Iterator[str]:
     yield text[at:]
 
 
+def _matches_white_runs(pattern: str) -> bool:
+    """Whether white space is matched as in ``_WHITE_RULE`` alone: a run but its last character, or at the end a whole run."""
+    return pattern.endswith(_WHITE_RULE) and r"\s" not in pattern.removesuffix(_WHITE_RULE).replace(r"[^\s", "")
+
+
 def encode_text(enc: tiktoken.Encoding, text: str | None) -> list[int]:
+    """Ids of a whole text, also where the library's pattern engine would overflow on a run of about a million white-space characters.
+
+    Where a run begins a match ends, and all of it but its last character is one match (the whole of it at the text's
+    end), so it is encoded by the ranks alone.
+    """
     text = text or ""
     if len(text) <= LONG:
         return enc.encode_ordinary(text)
     ids: list[int] = []
-    for part in safe_parts(text):
+    at = 0
+    for run in _WHITE_RUN.finditer(text) if _matches_white_runs(enc._pat_str) else ():
+        end = run.end() - (run.end() < len(text))
+        for part in safe_parts(text[at : run.start()]):
+            ids += enc.encode_ordinary(part)
+        ids += enc._encode_single_piece(text[run.start() : end])
+        at = end
+    for part in safe_parts(text[at:]):
         ids += enc.encode_ordinary(part)
     return ids
 
@@ -87,7 +107,7 @@ def round_trip(df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id",
 
     Columns: the key, ``n_tokens``, ``ids_sha256`` (lower-case hex of the decimal ids joined by
     one space) and ``decoded_sha256`` (lower-case hex of the decoded bytes). A null text counts
-    as empty. One row for each row of ``df``, repeated rows and null keys included. Ids
+    as empty. One row for each row of ``df``, repeated rows and null keys included, of texts of any length and make. Ids
     and bytes stay in the worker, so a text crosses to Python once.
     """
     schema = df.select(F.col(key)).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
