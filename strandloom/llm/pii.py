@@ -61,8 +61,8 @@ _TITLES = "|".join(f"{MALE} {FEMALE} {NEUTRAL}".split())
 _SPACE = r"[ \x{A0}]"
 #: One title; M. needs its dot, a space, and a word that isn't an initial.
 _TITLE = rf"(?:(?:{_TITLES})(?:\.{_SPACE}?|{_SPACE})|(?<!\p{{Lu}}\.)(?<!\p{{Lu}}\. )M\.{_SPACE}(?=\p{{Lu}}[\p{{L}}'’]|d['’]))"
-#: A word of a name (Smith, SMITH, McDonald, O'Brien) or an initial without its dot, and what may stand before it in lower case.
-WORD = r"(?:\p{Lu}(?:['’]\p{L})?[\p{L}\p{M}]+|\p{Lu}(?![\p{L}\p{M}'’]))"
+#: A word of a name (Smith, SMITH, McDonald, O'Brien) or an initial without its dot, and what may stand before it in lower case. A title is no word: another name begins with it.
+WORD = rf"(?!(?:{_TITLES})(?![\p{{L}}\p{{M}}]))" r"(?:\p{Lu}(?:['’]\p{L})?[\p{L}\p{M}]+|\p{Lu}(?![\p{L}\p{M}'’]))"
 _LEAD = rf"(?:(?:van|von|vom|zu|zum|zur|der|den|ten|ter|de|del|della|di|da|do|dos|das|du|des|la|le|los|las|af|av|al|el|bin|ibn|y){_SPACE}|[dl]['’]){{0,3}}"
 _JOIN = rf"(?:(?<=(?<![\p{{L}}\p{{M}}])\p{{Lu}})\.{_SPACE}?|{_SPACE}|-)"
 #: Up to three titles and up to eight words.
