@@ -33,8 +33,6 @@ REACH, LEAST, BITS, MOST = 8, 64, 9, 4096
 FACTOR = np.uint32(0x9E3779B1)
 #: Documents in a page of the manifest.
 PAGE = 1024
-#: Levels that a tree of the manifest has at most.
-LEVELS = 24
 #: Chunk names that a task remembers, so that it hands on each chunk once; more are forgotten, and a grouping finds them.
 REMEMBERED = 1 << 18
 
@@ -186,7 +184,8 @@ def tree(leaves: Column) -> Column:
         )
         return F.when(F.size(level) > 1, pairs).otherwise(level)
 
-    return F.coalesce(F.get(F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), leaves, up), F.lit(0)), F.sha2(F.lit(""), 256))
+    levels = F.ceil(F.log2(F.greatest(F.size(leaves), F.lit(1)))).cast("int") + 1  # one more than needed, which changes nothing
+    return F.coalesce(F.get(F.aggregate(F.sequence(F.lit(1), levels), leaves, up), F.lit(0)), F.sha2(F.lit(""), 256))
 
 
 def manifest(recipes: DataFrame) -> DataFrame:
