@@ -37,9 +37,17 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """Keep one document of each group of near-duplicates: five-word shingles, similarity 0.8 or more.
+
+    Of rows with one ``doc_id`` and one text, one is kept. Only rows whose ``doc_id`` occurs more than once are compared for that.
+    """
     gone = near_dedup.link(docs, words=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    twice = docs.groupBy(F.col("doc_id").alias("id")).count().where("`count` > 1").select("id")
+    if twice.isEmpty():
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

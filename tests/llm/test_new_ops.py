@@ -7,9 +7,12 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from strandloom.llm import entries, prefix_trie, suffix_dedup, whitening
+import corpus_pipeline
+from strandloom.llm import byte_bpe, entries, pii, prefix_trie, suffix_dedup, token_store, whitening
 
 SF = "/root/testdata/sf0.001"
 
@@ -215,6 +218,21 @@ def test_dedup_random(spark, monkeypatch, heavy):
     dedup_against_brute(spark, texts, 20)
 
 
+def test_links_lead_to_equal_earlier_bytes(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LEAST_BUCKETS", 8)
+    rng = random.Random(2)
+    own = ["".join(rng.choice("abc ") for _ in range(80)) for _ in range(9)]
+    texts = [(own[i % 9] + own[i * 7 % 9][i % 30 :] + own[i * 5 % 9][: 50 + i % 30]).encode() for i in range(60)]
+    rows = suffix_dedup.keyed(spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id bigint, text string"))
+    found = suffix_dedup.find_repeats(rows, 24).collect()
+    gone = [np.zeros(len(t), bool) for t in texts]
+    for r in found:
+        assert (r.first_key, r.first_lo) < (r.key, r.lo) and r.hi - r.lo >= 24
+        assert texts[r.key][r.lo : r.hi] == texts[r.first_key][r.first_lo : r.first_lo + r.hi - r.lo]
+        gone[r.key][r.lo : r.hi] = True
+    assert [int(g.sum()) for g in gone] == [w[1] for w in brute_removed([t.decode() for t in texts], 24)]
+
+
 def test_dedup_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "LEAST_BUCKETS", 8)
     rng = random.Random(1)
@@ -242,3 +260,50 @@ def test_dedup_query(spark):
     texts = duckdb.sql(f"select doc_id, text from '{SF}/documents.parquet' order by 1").fetchall()
     got = sorted(tuple(r) for r in entries.QUERIES["op13_suffix_dedup"](spark, SF).collect())
     assert got == [(i, *w[:4]) for (i, _), w in zip(texts, brute_removed([t for _, t in texts], 100))]
+
+
+# --- faults of earlier rounds ---
+
+
+@pytest.mark.parametrize("white", [" ", "\n", " \n", "\u3000\t"])
+def test_megabytes_of_white_space(spark, white):
+    enc = byte_bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for make in (lambda w: w, lambda w: f"word{w}", lambda w: f"{w}word", lambda w: f"one{w}two{w}3 !{w}x"):
+        own = byte_bpe.LONG // len(white) + 7  # short enough for the library, long enough for the run to be taken out
+        assert byte_bpe.encode_text(enc, make(white * own)) == enc.encode_ordinary(make(white * own))
+    texts = ["a" + white * (2_000_000 // len(white)) + "b", white * (2_000_000 // len(white))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = byte_bpe.round_trip(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).orderBy("doc_id").collect()
+    assert [r["decoded_sha256"] for r in rows] == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
+def test_a_title_is_no_name(spark):
+    df = spark.createDataFrame([(1, "Mr Smith Mrs Smith met Frau Doe Herr Roe. Mrs Mrsic came.")], "doc_id bigint, text string")
+    words = pii.replace(df, "key").first()["text"].replace(".", "").split()
+    smith = words[1]
+    assert words == ["Mr", smith, "Mrs", smith, "met", "Frau", words[6], "Herr", words[8], "Mrs", words[10], "came"]
+    assert not {smith, words[6], words[8], words[10]} & {"Smith", "Doe", "Roe", "Mrsic"} and len({smith, words[6], words[8], words[10]}) == 4
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 1000])
+def test_every_leaf_counts_in_a_tree(spark, n):
+    leaves = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(n)]
+
+    def root(x):
+        while len(x) > 1:
+            x = [hashlib.sha256((x[i] + x[i + 1]).encode()).hexdigest() if i + 1 < len(x) else x[i] for i in range(0, len(x), 2)]
+        return x[0]
+
+    changed = [leaves[:i] + ["0" * 64] + leaves[i + 1 :] for i in {0, n // 2, n - 1}]
+    df = spark.createDataFrame([(x,) for x in [leaves, *changed]], "leaves array<string>")
+    got = [r[0] for r in df.select(token_store.tree(F.col("leaves"))).collect()]
+    assert got == [root(x) for x in [leaves, *changed]] and len(set(got)) == 1 + len(changed)
+
+
+def test_pipeline_drops_repeated_rows(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text), (1, text), (2, text), (3, "other " + text[::-1]), (None, "x"), (None, "x"), (None, "y")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.drop_near_duplicates(spark, df, SF)
+    assert got.columns == df.columns
+    assert sorted(((r["doc_id"] or 0, r["text"]) for r in got.collect())) == [(0, "x"), (0, "y"), (1, text), (3, "other " + text[::-1])]
