@@ -19,6 +19,8 @@ class DigestConfig:
     min_mono_len: int = 30
     pair_mode: str = "all"
     write_monomers: bool = False
+    gz_level: int = 6
+    keep_chunks: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "motif", check_motif(self.motif))
@@ -42,6 +44,8 @@ class GuidedConfig:
     write_monomers: bool = True
     window: int = 2000
     window_overlap: int = 250
+    gz_level: int = 6
+    keep_chunks: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "motif", check_motif(self.motif))
@@ -58,5 +62,5 @@ def from_environment(kind: type, env: Mapping[str, str] | None = None):
     for f in fields(kind):
         raw = env.get(f.name.upper())
         if raw not in (None, ""):
-            values[f.name] = raw if f.name in ("motif", "pair_mode") else raw == "1" if f.name in ("dup_motif", "write_monomers") else int(raw)
+            values[f.name] = raw if f.name in ("motif", "pair_mode") else raw == "1" if f.name in ("dup_motif", "write_monomers", "keep_chunks") else int(raw)
     return kind(**values)

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.config import DigestConfig, GuidedConfig
 from strandloom.functions.motif import motif_regex, reverse_complement_of
-from strandloom.operators import cigar, merge, protect, sites, stats, windows
+from strandloom.operators import chains, cigar, merge, protect, seeds, sites, stats, windows
 from strandloom.plans.digest import Digest
-from strandloom.plans.guided import Guided
+from strandloom.plans.guided import Guided, bucketed_guided
 from strandloom.plans.manifest import Manifest
 from strandloom.scratch import scratch
 from strandloom.sources.derived import BASES, LETTERS, derived_alignments, derived_reads
 from strandloom.sources.fastq import read_fasta, read_fastq
+from strandloom.sources.fastq_chunks import read_chunk_list, write_chunks
+from strandloom.sources.fastq_source import register
 from strandloom.sources.paf import on_reads, read_paf
 from strandloom.sources.sinks import monomer_records, pair_records, window_records, write_monomers, write_pairs, write_sites, write_stats, write_windows
-from strandloom.streaming.digest_stream import streamed_stats
+from strandloom.streaming.digest_stream import streamed_fastq_stats, streamed_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +75,39 @@ def _fastq_files(spark: SparkSession, d: str) -> DataFrame:
     return _hashed(read_fastq(spark, path).drop("read_idx"), "seq", "qual")
 
 
+def _wrapped(value: Column, width: int) -> Column:
+    """Lines of ``width`` letters."""
+    return F.regexp_replace(value, f"(.{{{width}}})(?=.)", "$1\n")
+
+
+def _fastq_multiline(spark: SparkSession, d: str) -> DataFrame:
+    """The reads as FASTQ records of many lines, whose qualities have lines that look like headers and separators, in ranges that cut records."""
+    path = scratch(spark, "fastq-wrapped")
+    qual = F.regexp_replace("qual", "(.{61}).{2}", "$1@+")
+    record = F.concat(F.lit("@"), "read_id", F.lit("\n"), _wrapped(F.col("seq"), 60), F.lit("\n+\n"), _wrapped(qual, 61))
+    derived_reads(spark, d).select(record.alias("value")).write.text(path)
+    return _hashed(read_fastq(spark, path, range_bytes=200_000).drop("read_idx"), "seq", "qual")
+
+
+def _fastq_source(spark: SparkSession, d: str) -> DataFrame:
+    """Two columns of the reads from plain files in small ranges and from compressed ones, by the source's name."""
+    path = scratch(spark, "fastq-source")
+    record = F.concat(F.lit("@"), "read_id", F.lit("\tx\n"), "seq", F.lit("\n+\n"), "qual")
+    reads = derived_reads(spark, d).select("read_idx", record.alias("value"))
+    reads.where("read_idx % 2 = 0").select("value").write.text(f"{path}/plain")
+    reads.where("read_idx % 2 = 1").select("value").write.text(f"{path}/packed", compression="gzip")
+    register(spark)
+    return spark.read.format("fastq").schema("read_id string, seq string").option("rangeBytes", 100_000).load(path).select("read_id", F.md5("seq").alias("seq"))
+
+
+def _fastq_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Counters of a digest over FASTQ files read as a stream."""
+    path = scratch(spark, "fastq-stream")
+    record = F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")
+    derived_reads(spark, d).select(record.alias("value")).write.text(path, compression="gzip")
+    return streamed_fastq_stats(spark, path, DigestConfig())
+
+
 def _fasta_files(spark: SparkSession, d: str) -> DataFrame:
     """The reads as FASTA files with lines of 60 letters, and back."""
     path = scratch(spark, "fasta")
@@ -130,6 +165,41 @@ def _stage_counts(spark: SparkSession, d: str) -> DataFrame:
     return m.counts()
 
 
+def _observed_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Counters that were collected while the pairs were written."""
+    pairs, seen = _digest()(spark, d).observed_pairs()
+    write_pairs(pairs, scratch(spark, "observed-pairs"))
+    return stats.observed_metrics(spark, seen, stats.DIGEST)
+
+
+def _chunk_list(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs as the listed chunks hold them: both sides by name, each with the number of pairs that the list promises in all."""
+    path = scratch(spark, "chunks")
+    write_chunks(_digest()(spark, d).pairs, path)
+    listed = read_chunk_list(spark, path).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("listed"))
+    sides = []
+    for k in (1, 2):
+        side = read_fastq(spark, f"{path}/*_R{k}.fastq.gz") if listed.first()[0] else read_fastq(spark, f"{path}/*_R{k}.fastq.gz").limit(0)
+        sides.append(side.select(F.regexp_replace("read_id", "/[12]$", "").alias("name"), F.md5("seq").alias(f"r{k}_seq")))
+    return sides[0].join(sides[1], "name").join(F.broadcast(listed))
+
+
+def _minimizers(spark: SparkSession, d: str) -> DataFrame:
+    return seeds.minimizers(derived_reads(spark, d))
+
+
+def _hits(spark: SparkSession, d: str) -> DataFrame:
+    """Seed hits between all reads."""
+    path = scratch(spark, "minimizers")
+    _minimizers(spark, d).write.parquet(path)
+    own = spark.read.schema(seeds.SCHEMA).parquet(path)
+    return seeds.seed_hits(own, own, seeds.mid_occ(own))
+
+
+def _chains(spark: SparkSession, d: str) -> DataFrame:
+    return chains.chains(_hits(spark, d), seeds.K)
+
+
 def _records(df: DataFrame) -> DataFrame:
     return df.select("read_idx", F.md5("record").alias("record"))
 
@@ -161,6 +231,9 @@ QUERIES: dict[str, Query] = {
     "paf_blocks": _paf_blocks,
     "window_records": lambda s, d: _records(window_records(windows.split_windows(derived_reads(s, d), keep=("read_id",)))),
     "fastq_files": _fastq_files,
+    "fastq_multiline": _fastq_multiline,
+    "fastq_source": _fastq_source,
+    "fastq_stream": _fastq_stream,
     "fasta_files": _fasta_files,
     "pair_files": _pair_files,
     "monomer_files": _monomer_files,
@@ -171,13 +244,20 @@ QUERIES: dict[str, Query] = {
     "stage_counts": _stage_counts,
     "merged_blocks": lambda s, d: merge.merge_blocks(_blocks(s, d), 50),
     "reads_with_blocks": lambda s, d: merge.merge_blocks(_blocks(s, d), 50).agg(F.count_distinct("read_idx").alias("reads"), F.count("*").alias("blocks")),
-    "sites_final": lambda s, d: _guided(s, d).sites_final,
+    "sites_final": lambda s, d: _guided(s, d, sweep=False).sites_final,
+    "sites_final_sweep": lambda s, d: _guided(s, d).sites_final,
     "sites_final_binned": lambda s, d: _guided(s, d, bin_size=1024).sites_final,
     "span_histogram": lambda s, d: protect.span_histogram(_guided(s, d).sites_final),
     "class_summary": lambda s, d: protect.class_summary(_guided(s, d).sites_final),
     "guided_monomers": lambda s, d: _monomers(_guided(s, d).monomers),
     "guided_pairs": lambda s, d: _pairs(_guided(s, d).pairs),
     "guided_stats": lambda s, d: _guided(s, d).stats,
+    "guided_bucketed": lambda s, d: _pairs(bucketed_guided(derived_reads(s, d), derived_alignments(s, d), GuidedConfig(), n=8).pairs),
+    "digest_observed_stats": _observed_stats,
+    "chunk_list": _chunk_list,
+    "minimizers": _minimizers,
+    "seed_hits": _hits,
+    "chains": _chains,
     "guided_problems": lambda s, d: _guided(s, d).problems(),
 }
 
@@ -335,6 +415,33 @@ offs as (
   select read_idx, seq, unnest(case when len <= 2000 then [cast(0 as bigint)] else list_append(list_filter(range(0, len, 1750), lambda s: s + 2000 < len), len - 2000) end) as win_off from reads
 )"""
 
+_SEEDS = f"""
+kmers as (
+  select read_idx, cast(i as bigint) as pos, substr(seq, i + 1, {seeds.K}) as kmer from (select read_idx, seq, unnest(range(0, greatest(len - {seeds.K - 1}, 0))) as i from reads)
+),
+coded as (
+  select read_idx, pos, cast(translate(kmer, 'ACGT', '0123') as bigint) as f, cast(reverse(translate(kmer, 'ACGT', '3210')) as bigint) as b from kmers
+),
+hashed as (
+  select read_idx, pos, least(f, b) as seed, b < f as reverse, f = b as none, count(*) over (partition by read_idx) as n,
+    case when f = b then 9223372036854775807 else (least(f, b) // 100000000 * {seeds.HIGH} + least(f, b) % 100000000 * {seeds.LOW}) % {seeds.PRIME} end as h
+  from coded
+),
+lowest as (
+  select *, case when pos + least({seeds.W}, n) <= n then min(h) over (partition by read_idx order by pos rows between current row and {seeds.W - 1} following) end as m from hashed
+),
+best as (select *, max(m) over (partition by read_idx order by pos rows between {seeds.W - 1} preceding and current row) as most from lowest),
+minimizers as (select read_idx, pos, seed, reverse from best where most = h and not none)"""
+
+_HITS = f"""
+occs as (select seed, count(*) as occ from minimizers group by seed),
+often as (select occ, sum(n) over (order by occ desc) as above from (select occ, count(*) as n from occs group by occ)),
+mask as (select greatest(10, coalesce(max(occ), 0)) as most from often where above > {seeds.MASKED} * (select count(*) from occs)),
+hits as (
+  select q.read_idx, t.read_idx as target_idx, q.reverse <> t.reverse as reverse, q.pos as q_pos, t.pos as t_pos
+  from minimizers q join minimizers t on q.seed = t.seed and q.read_idx <> t.read_idx join occs o on o.seed = q.seed where o.occ <= (select most from mask)
+)"""
+
 _CATG = _sites_sql("CATG", 4, False)
 _PLAIN = (_READS, _CATG, _cut_sql("x", "x", 30))
 _DUP = (_READS, _CATG, _cut_sql("motif_start", "motif_end", 20))
@@ -395,6 +502,11 @@ select read_idx, strand, target_id, q_start, q_end, t_start,
 from alignments where t_start % 3 = 0""",
     ),
     "fastq_files": _with(_READS, select="select 'read' || read_idx as read_id, md5(seq) as seq, len, md5(repeat('I', len)) as qual from reads"),
+    "fastq_multiline": _with(
+        _READS, select="select 'read' || read_idx as read_id, md5(seq) as seq, len, md5(regexp_replace(repeat('I', len), '(.{61}).{2}', '\\1@+', 'g')) as qual from reads"
+    ),
+    "fastq_source": _with(_READS, select="select 'read' || read_idx as read_id, md5(seq) as seq from reads"),
+    "fastq_stream": _with(*_PLAIN, _pairs_sql("all"), _COUNTS, select=_stats_sql(stats.DIGEST)),
     "fasta_files": _with(_READS, select="select 'read' || read_idx as read_id, md5(seq) as seq, len from reads"),
     "pair_files": _with(
         *_PLAIN,
@@ -415,6 +527,7 @@ from alignments where t_start % 3 = 0""",
     "reads_with_blocks": _with(_READS, _ALIGN, _BLOCKS, _MERGED, select="select count(distinct read_idx) as reads, count(*) as blocks from merged"),
     "sites_final": _with(*_GUIDED, select=_SITE_ROWS),
     "sites_final_binned": _with(*_GUIDED, select=_SITE_ROWS),
+    "sites_final_sweep": _with(*_GUIDED, select=_SITE_ROWS),
     "span_histogram": _with(*_GUIDED, select="select span, count(*) as n_sites from classed group by span"),
     "class_summary": _with(
         *_GUIDED,
@@ -424,6 +537,15 @@ from (select count(*) as sites, count(*) filter (class = 'P') as protected, coun
     "guided_monomers": _with(*_GUIDED_CUT, select=_MONOMER_ROWS),
     "guided_pairs": _with(*_GUIDED_CUT, _pairs_sql("all"), select=_PAIR_ROWS),
     "guided_stats": _with(*_GUIDED_CUT, _pairs_sql("all"), _COUNTS, select=_stats_sql(stats.GUIDED, "cut_sites")),
+    "guided_bucketed": _with(*_GUIDED_CUT, _pairs_sql("all"), select=_PAIR_ROWS),
+    "digest_observed_stats": _with(*_PLAIN, _pairs_sql("all"), _COUNTS, select=_stats_sql(stats.DIGEST)),
+    "chunk_list": _with(
+        *_PLAIN,
+        _pairs_sql("all"),
+        select="select 'read' || read_idx || ':' || i || '-' || j as name, md5(r1_seq) as r1_seq, md5(r2_seq) as r2_seq, (select count(*) from pairs) as listed from pairs",
+    ),
+    "minimizers": _with(_READS, _SEEDS, select="select read_idx, pos, seed, reverse from minimizers"),
+    "seed_hits": _with(_READS, _SEEDS, _HITS, select="select read_idx, target_idx, reverse, q_pos, t_pos from hits"),
     "guided_problems": _with(
         *_GUIDED_CUT,
         select="""select 'sites_of_unknown_reads' as problem, (select count(*) from classed where read_idx not in (select read_idx from reads)) as n

@@ -2,45 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 KEYS = ["read_idx", "target_id", "strand"]
+_PLACES = ["q1", "q2", "t1", "t2"]
+_MERGED = "read_idx bigint, q_start bigint, q_end bigint, target_id string"
+
+
+class _Fold:
+    """The running block of a sorted stream, carried from batch to batch."""
+
+    def __init__(self, max_gap: int):
+        self.gap, self.key, self.block = max_gap, None, None
+        self.out: list[tuple] = []
+
+    def close(self) -> None:
+        if self.block is not None:
+            self.out.append((self.key[0], self.block[0], self.block[1], self.key[1]))
+            self.block = None
+
+    def run(self, key: tuple, rows: list[tuple]) -> None:
+        """Blocks of one read, target and strand, in order, after those before."""
+        if key != self.key:
+            self.close()
+            self.key = key
+        gap, plus = self.gap, key[2] == "+"
+        for a, b, x, y in rows:
+            p = self.block
+            if p is not None:
+                q, t = a - p[1], x - p[3] if plus else p[2] - y
+                if q < gap and t < gap and abs(q - t) < gap:
+                    p[1] = max(p[1], b)
+                    if plus:
+                        p[3] = max(p[3], y)
+                    else:
+                        p[2] = min(p[2], x)
+                    continue
+                self.close()
+            self.block = [a, b, x, y]
+
+    def taken(self) -> pa.RecordBatch:
+        rows, self.out = self.out, []
+        columns = [list(c) for c in zip(*rows)] if rows else [[]] * 4
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["read_idx", "q_start", "q_end", "target_id"])
 
 
 def merge_blocks(blocks: DataFrame, max_gap: int = 50) -> DataFrame:
     """(read_idx, q_start, q_end, target_id): colinear blocks of a read, a target and a strand as one.
 
     In the order of (q1, q2, t1, t2), a block joins the running one if the gaps on both sides are below
-    ``max_gap`` and differ by less than that; else it becomes the running one. The fold runs on runs of blocks:
-    where a block starts ``max_gap`` or more after the end of all before it, it can't join any of them. So an array
-    holds one run only, and the window, the grouping and the fold share one shuffle.
+    ``max_gap`` and differ by less than that; else it becomes the running one. One shuffle by read, target and strand and a sort, which
+    Spark spills; then one pass in which a task holds a batch and one running block, in time linear in the blocks, however
+    many one read has. The next step groups by read, so reads of one key are together already.
     """
-    w = Window.partitionBy(*KEYS).orderBy("q1", "q2", "t1", "t2")
-    before = F.max("q2").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    cut = blocks.withColumn("cut", F.coalesce((F.col("q1") - before >= max_gap).cast("int"), F.lit(0)))
-    runs = cut.withColumn("run", F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    grouped = runs.groupBy(*KEYS, "run").agg(F.array_sort(F.collect_list(F.struct("q1", "q2", "t1", "t2"))).alias("own"))
-    plus = F.col("strand") == "+"
-    none = F.array().cast("array<struct<q1:bigint,q2:bigint>>")
-
-    def done(a: Column) -> Column:
-        return F.concat(a["out"], F.array(F.struct(a["p"]["q1"].alias("q1"), a["p"]["q2"].alias("q2"))))
-
-    def step(a: Column, x: Column) -> Column:
-        p = a["p"]
-        gq = x["q1"] - p["q2"]
-        gt = F.when(plus, x["t1"] - p["t2"]).otherwise(p["t1"] - x["t2"])
-        joins = (gq < max_gap) & (gt < max_gap) & (F.abs(gq - gt) < max_gap)
-        joined = F.struct(
-            p["q1"].alias("q1"),
-            F.greatest(p["q2"], x["q2"]).alias("q2"),
-            F.when(plus, p["t1"]).otherwise(F.least(p["t1"], x["t1"])).alias("t1"),
-            F.when(plus, F.greatest(p["t2"], x["t2"])).otherwise(p["t2"]).alias("t2"),
-        )
-        return F.struct(F.when(joins, a["out"]).otherwise(done(a)).alias("out"), F.when(joins, joined).otherwise(x).alias("p"))
-
-    start = F.struct(none.alias("out"), F.col("own")[0].alias("p"))
-    merged = F.aggregate(F.slice("own", 2, F.size("own")), start, step, done)
-    return grouped.select("read_idx", "target_id", F.explode(merged).alias("m")).select("read_idx", F.col("m.q1").alias("q_start"), F.col("m.q2").alias("q_end"), "target_id")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = _Fold(max_gap)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c) for c in KEYS]
+            codes = [np.asarray(k.dictionary_encode().indices.fill_null(-1)) for k in keys]
+            new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in codes])) + 1
+            places = list(zip(*(batch.column(c).to_pylist() for c in _PLACES)))
+            edges = [0, *new.tolist(), batch.num_rows]
+            heads = list(zip(*(k.take(pa.array(edges[:-1])).to_pylist() for k in keys)))
+            for key, a, b in zip(heads, edges, edges[1:]):
+                state.run(key, places[a:b])
+            yield state.taken()
+        state.close()
+        yield state.taken()
+
+    ordered = blocks.select(*KEYS, *_PLACES).repartition(*KEYS).sortWithinPartitions(*KEYS, *_PLACES)
+    return ordered.mapInArrow(fold, _MERGED)

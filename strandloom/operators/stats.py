@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.intervals import ratio
@@ -11,13 +11,13 @@ DIGEST = ("reads", "sites_cut", "monomers_generated", "monomers_short_removed",
 GUIDED = ("reads", "monomers_generated", "monomers_short_removed", "monomers_kept", "reads_multi_monomer", "reads_lt2_monomers", "pairs", "cuts")
 
 
-def counters(cuts: DataFrame, mode: str = "all") -> DataFrame:
-    """One row of all counters; each task sums its reads first."""
+def counter_columns(mode: str = "all") -> list[Column]:
+    """Sums over reads with their cuts; null without reads, but for the number of reads."""
     made, kept = F.size("made"), F.size("kept")
     pairs = kept * (kept - 1) / 2 if mode == "all" else kept - 1
-    total = lambda x, name: F.coalesce(F.sum(x.cast("bigint")), F.lit(0)).alias(name)
-    return cuts.agg(
-        F.count("*").alias("reads"),
+    total = lambda x, name: F.sum(x.cast("bigint")).alias(name)
+    return [
+        F.count(F.lit(1)).alias("reads"),
         total(F.col("n_sites"), "sites_cut"),
         total(made, "monomers_generated"),
         total(made - kept, "monomers_short_removed"),
@@ -25,7 +25,26 @@ def counters(cuts: DataFrame, mode: str = "all") -> DataFrame:
         total(kept >= 2, "reads_multi_monomer"),
         total(kept < 2, "reads_lt2_monomers"),
         total(F.when(kept >= 2, pairs).otherwise(0), "pairs"),
-    ).withColumn("cuts", F.col("sites_cut"))
+    ]
+
+
+def counters(cuts: DataFrame, mode: str = "all") -> DataFrame:
+    """One row of all counters; each task sums its reads first."""
+    row = cuts.agg(*counter_columns(mode))
+    return row.select([F.coalesce(F.col(c), F.lit(0)).alias(c) for c in row.columns]).withColumn("cuts", F.col("sites_cut"))
+
+
+def observe(cuts: DataFrame, mode: str = "all") -> tuple[DataFrame, Observation]:
+    """``cuts``, which count themselves as they pass on to what an action writes: no job of its own."""
+    seen = Observation()
+    return cuts.observe(seen, *counter_columns(mode)), seen
+
+
+def observed_metrics(spark: SparkSession, seen: Observation, names: tuple[str, ...]) -> DataFrame:
+    """(metric, value) of counters that an action has collected."""
+    got = seen.get
+    value = {n: int(got.get("sites_cut" if n == "cuts" else n) or 0) for n in names}
+    return spark.createDataFrame(list(value.items()), "metric string, value bigint").coalesce(1)
 
 
 def as_metrics(row: DataFrame, names: tuple[str, ...]) -> DataFrame:

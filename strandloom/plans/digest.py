@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from strandloom.config import DigestConfig
 from strandloom.operators.cut import digest_cuts, monomers
 from strandloom.operators.pairs import pair
-from strandloom.operators.stats import digest_stats
+from strandloom.operators.stats import digest_stats, observe
 
 
 class Digest:
@@ -29,6 +29,11 @@ class Digest:
     def pairs(self) -> DataFrame:
         return pair(self.cuts, self.config.pair_mode)
 
+    def observed_pairs(self) -> tuple[DataFrame, Observation]:
+        """Pairs, and the counters that come with them once they have been written."""
+        cuts, seen = observe(self.cuts, self.config.pair_mode)
+        return pair(cuts, self.config.pair_mode), seen
+
     @property
     def stats(self) -> DataFrame:
         return digest_stats(self.cuts, self.config.pair_mode)

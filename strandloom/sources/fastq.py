@@ -2,97 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-READS = "read_idx bigint, read_id string, seq string, qual string, len bigint"
-#: A read's number is its file's number times this, plus its own number in the file.
-STRIDE = 1 << 40
-_PARTS = "file bigint, line bigint, value string, head string, seq string, plus string, qual string"
-
+from strandloom.sources.fastq_source import register
 
 def _id(header: Column) -> Column:
     """A header up to its first space or tab, without the leading mark."""
     return F.regexp_extract(header, r"^[@>]?([^ \t\r]*)", 1)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
-
-
-def _batch(file: int, lines: np.ndarray, value: pa.Array | None, fields: list[pa.Array] | None) -> pa.RecordBatch:
-    none = pa.nulls(len(lines), pa.string())
-    columns = [pa.array(np.full(len(lines), file, np.int64)), pa.array(lines), value if value is not None else none, *(fields or [none] * 4)]
-    return pa.RecordBatch.from_arrays(columns, ["file", "line", "value", "head", "seq", "plus", "qual"])
-
-
-def _loose(file: int, line: int, values: pa.Array) -> pa.RecordBatch:
-    """Lines of records that a block's border cuts, from the file's line ``line`` on."""
-    return _batch(file, line + np.arange(len(values), dtype=np.int64), values, None)
+def read_fastq(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
+    """(read_idx, read_id, seq, qual, len) of FASTQ records, whose sequences and qualities may span lines; ``read_idx`` ascends with file names and places.
 
-
-def _whole(file: int, line: int, values: pa.Array) -> pa.RecordBatch:
-    """Records of four lines each."""
-    first = np.arange(0, len(values), 4, dtype=np.int64)
-    return _batch(file, line + first, None, [values.take(pa.array(first + k)) for k in range(4)])
-
-
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(read_idx, read_id, seq, qual, len) of four-line FASTQ records, in the order of file names and records.
-
-    Lines are counted, not searched for ``@``, with which a quality may begin. A first pass counts the lines of each
-    block of each file; the driver gets those counts (a number a block) and broadcasts them. So a large plain file is read by many tasks: each
-    knows which line of a record its block starts with, and passes on whole records as they are. Only the
-    records that a block's border cuts are put together by a small grouping. A truncated record, a
-    missing ``@`` or ``+``, and a quality of another length than its sequence fail the job.
+    See ``fastq_source`` for how plain files are read in ranges. A truncated record, a missing ``@`` or ``+``, and a quality
+    of another length than its sequence fail the job.
     """
-    counts = _lines(spark, path).groupBy("path", "block").agg(F.count("*").alias("n")).collect()
-    first: dict[tuple[str, int], tuple[int, int]] = {}
-    number = {name: i for i, name in enumerate(sorted({r["path"] for r in counts}))}
-    at: dict[str, int] = {}
-    for r in sorted(counts, key=lambda r: (r["path"], r["block"])):
-        first[r["path"], r["block"]] = (number[r["path"]], at.get(r["path"], 0))
-        at[r["path"]] = at.get(r["path"], 0) + r["n"]
-
-    where = spark.sparkContext.broadcast(first)
+    register(spark)
+    reader = spark.read.format("fastq")
+    return (reader.option("rangeBytes", range_bytes) if range_bytes else reader).load(path)
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, file, line, tail = None, 0, 0, pa.array([], pa.string())
-        for batch in batches:
-            names, blocks, values = batch.column("path"), batch.column("block").to_numpy(zero_copy_only=False), batch.column("value")
-            n = len(blocks)
-            new = (blocks[1:] != blocks[:-1]) | pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)
-            borders = [0, *(np.flatnonzero(new) + 1).tolist(), n] if n else []
-            for lo, hi in zip(borders, borders[1:]):
-                here = (names[lo].as_py(), int(blocks[lo]))
-                if here != place:
-                    yield _loose(file, line, tail)
-                    place, tail = here, tail[:0]
-                    file, line = where.value[here]
-                own = pa.concat_arrays([tail, values[lo:hi].cast(pa.string())])
-                skip = min(-line % 4, len(own))
-                yield _loose(file, line, own[:skip])
-                n_whole = (len(own) - skip) // 4
-                yield _whole(file, line + skip, own[skip : skip + 4 * n_whole])
-                tail, line = own[skip + 4 * n_whole :], line + skip + 4 * n_whole
-        yield _loose(file, line, tail)
 
-    parts = _lines(spark, path).mapInArrow(split, _PARTS)
-    fields = ["head", "seq", "plus", "qual"]
-    whole = parts.where("value is null").select("file", F.floor(F.col("line") / 4).alias("n"), *fields)
-    cut = parts.where("value is not null").groupBy("file", F.floor(F.col("line") / 4).alias("n")).agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("own"))
-    cut = cut.where((F.size("own") > 1) | (F.col("own")[0]["value"] != "")).select("file", "n", *[F.get(F.col("own"), F.lit(i))["value"].alias(f) for i, f in enumerate(fields)])
-    every = whole.unionByName(cut)
-    for f in fields:
-        every = every.withColumn(f, F.regexp_replace(f, "\r$", ""))
-    sound = F.col("head").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual"))
-    seq = F.when(F.coalesce(sound, F.lit(False)), F.col("seq")).otherwise(F.raise_error(F.concat(F.lit("not a four-line FASTQ record: "), F.coalesce("head", F.lit("")))).cast("string"))
-    return every.select((F.col("file") * STRIDE + F.col("n")).alias("read_idx"), _id(F.col("head")).alias("read_id"), seq.alias("seq"), "qual").withColumn("len", F.length("seq").cast("bigint"))
+def stream_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """The same as a stream: files that appear under ``path`` are read once each, in the order of their times and names."""
+    register(spark)
+    return spark.readStream.format("fastq").load(path)
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:

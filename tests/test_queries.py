@@ -22,10 +22,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entries.QUERIES) == set(entries.ORACLE_SQL)
+    # programmes over sorted hits aren't SQL; tests/test_aligner.py holds them against brute force
+    assert set(entries.QUERIES) - set(entries.ORACLE_SQL) == {"chains"} and set(entries.ORACLE_SQL) <= set(entries.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entries.QUERIES))
+@pytest.mark.parametrize("name", sorted(entries.ORACLE_SQL))
 def test_query(spark, duck, name):
     got = entries.QUERIES[name](spark, SF)
     want = duck.sql(entries.ORACLE_SQL[name])

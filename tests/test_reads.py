@@ -3,23 +3,28 @@
 import gzip
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandloom import cli
 from strandloom.config import DigestConfig, GuidedConfig, from_environment
 from strandloom.functions.motif import check_motif, motif_starts, reverse_complement
 from strandloom.operators.cigar import split_alignments
 from strandloom.operators.merge import merge_blocks
-from strandloom.operators.protect import class_summary, protect
+from strandloom.operators.protect import class_summary, protect, protect_sweep
+from strandloom.operators.stats import DIGEST, observed_metrics
 from strandloom.operators.windows import split_windows
 from strandloom.plans.digest import Digest
-from strandloom.plans.guided import Guided
+from strandloom.plans.guided import Guided, bucketed_guided
 from strandloom.plans.manifest import Manifest, clock
-from strandloom.sources import sinks
-from strandloom.sources.fastq import read_fasta, read_fastq, total_bases
+from strandloom.sources import fastq_source, sinks
+from strandloom.sources.fastq import read_fasta, read_fastq, stream_fastq, total_bases
+from strandloom.sources.fastq_chunks import chunk_lists, read_chunk_list, write_chunks
 from strandloom.sources.paf import on_reads, read_paf
+from strandloom.streaming.digest_stream import stream_pairs
 
 ALIGN = "read_idx bigint, win_off bigint, q_start bigint, q_end bigint, strand string, target_id string, t_start bigint, cigar string"
 
@@ -173,6 +178,25 @@ def test_protect(spark, bin_size):
     assert class_summary(final.limit(0)).first()["pct_cut"] == 0
 
 
+def test_sweep_equals_join(spark):
+    rng = random.Random(8)
+    sites, blocks = [], []
+    for read in range(40):
+        n = rng.choice([5, 20, 60, 200])
+        for x in sorted(rng.sample(range(n + 1), rng.randint(0, min(n, 12)))):
+            sites.append((read, n, x - 4, x, x))
+        for _ in range(rng.choice([0, 3, 60])):
+            a = rng.choice([0, rng.randint(-2, n)])
+            blocks.append((read, a, rng.choice([n, n + 3, rng.randint(a, n + 2)]), rng.choice("abcd")))
+    s = spark.createDataFrame(sites, "read_idx bigint, len bigint, motif_start bigint, motif_end bigint, x bigint")
+    b = spark.createDataFrame(blocks, "read_idx bigint, q_start bigint, q_end bigint, target_id string")
+    for flank in (0, 3, 15, 70):
+        want, got = protect(s, b, flank, 2), protect_sweep(s, b, flank, 2)
+        assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = protect_sweep(s, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # blocks with the length of their read; none with sites
+
+
 def test_guided_without_support(spark):
     seqs = ["AACATG", "CATGAA", "AACATGTTTTCATGGG", "TTT"]
     none = spark.createDataFrame([], ALIGN)
@@ -189,19 +213,83 @@ def test_fastq_files(spark, tmp_path):
     (tmp_path / "a.fastq").write_text(text)
     with gzip.open(tmp_path / "b.fastq.gz", "wt") as f:
         f.write(text)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "50b")  # blocks' borders cut records
-        got = read_fastq(spark, str(tmp_path / "*.fastq*")).orderBy("read_idx").collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = read_fastq(spark, str(tmp_path / "*.fastq*"), range_bytes=50).orderBy("read_idx").collect()  # borders cut records
     assert [(r["read_id"], r["seq"], r["qual"], r["len"]) for r in got] == [(f"r{i}", s, "@" * len(s), len(s)) for i, s in enumerate(seqs)] * 2
-    (tmp_path / "bad.fastq").write_text("@r\nACGT\n+\nII\n")
-    with pytest.raises(Exception, match="not a four-line FASTQ record"):
-        read_fastq(spark, str(tmp_path / "bad.fastq")).collect()
-    (tmp_path / "short.fastq").write_text("@r\nACGT\n+\n")
-    with pytest.raises(Exception, match="not a four-line FASTQ record"):
-        read_fastq(spark, str(tmp_path / "short.fastq")).collect()
+    for name, bad in (("bad", "@r\nACGT\n+\nII\n"), ("short", "@r\nACGT\n+\n"), ("open", "@r\nACGT\n"), ("none", "ACGT\n"), ("long", "@r\nAC\n+\nIII\n"), ("behind", "@r\nAC\n+\nII\nAC\n")):
+        (tmp_path / f"{name}.fastq").write_text(bad)
+        with pytest.raises(Exception, match="BrokenRecord"):
+            read_fastq(spark, str(tmp_path / f"{name}.fastq")).collect()
+    with pytest.raises(Exception, match="nothing.fastq"):
+        read_fastq(spark, str(tmp_path / "nothing.fastq")).collect()
+
+
+def wrapped_records(rng, n, longest=400):
+    """(text, [(id, seq, qual)]): records whose sequences and qualities have lines of different lengths, with line starts like headers and separators."""
+
+    def lines(x):
+        out = []
+        while x:
+            k = rng.choice([1, 7, 60, 61])
+            out.append(x[:k])
+            x = x[k:]
+        return out or [""]
+
+    text, want = "", []
+    for i in range(n):
+        size = rng.choice([0, 1, rng.randint(2, longest), rng.randint(2, 40)])
+        seq, qual = "".join(rng.choices("ACGTN", k=size)), "".join(rng.choices("@+I#", k=size))
+        own = [f"@r{i} x"] + (lines(seq) if i % 3 else [seq]) + [rng.choice(["+", f"+r{i}"])] + (lines(qual) if i % 3 else [qual])
+        text += rng.choice(["\n", "\n", "\r\n"]).join(own) + "\n" * rng.choice([1, 1, 1, 2])
+        want.append((f"r{i}", seq, qual))
+    return text, want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fastq_of_many_lines(tmp_path, monkeypatch, seed):
+    monkeypatch.setattr(fastq_source, "LOOK", 300)
+    monkeypatch.setattr(fastq_source, "STEP", 700)
+    rng = random.Random(seed)
+    text, want = wrapped_records(rng, 150)
+    text = text if seed % 2 else text.rstrip("\n") + "I" * 0
+    (tmp_path / "x.fastq").write_bytes(text.encode())
+    seen = []
+    for span in (10**9, 1000, 97):
+        reader = fastq_source._BatchReader(StructType.fromDDL(fastq_source.SCHEMA), str(tmp_path), span)
+        rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+        assert [(r["read_id"], r["seq"], r["qual"]) for r in rows] == want and all(r["len"] == len(r["seq"]) for r in rows)
+        seen.append([r["read_idx"] for r in rows])
+    assert seen[0] == seen[1] == seen[2] == sorted(set(seen[0]))
+
+
+def test_fastq_broken_in_any_place_fails(tmp_path, monkeypatch):
+    monkeypatch.setattr(fastq_source, "LOOK", 300)
+    rng = random.Random(9)
+    text, _ = wrapped_records(rng, 120)
+    places = [m.start() for m in re.finditer("[ACGT]", text)]
+    for at in rng.sample(places, 25):
+        (tmp_path / "x.fastq").write_text(text[:at] + text[at + 1 :])  # a sequence is one letter short
+        reader = fastq_source._BatchReader(StructType.fromDDL(fastq_source.SCHEMA), str(tmp_path), 500)
+        with pytest.raises(fastq_source.BrokenRecord):
+            for p in reader.partitions():
+                list(reader.read(p))
+
+
+def test_fastq_source_columns_and_stream(spark, tmp_path):
+    fastq_source.register(spark)
+    one = spark.read.format("fastq").schema("seq string, read_idx bigint")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.fastq").write_text("@a\nAACATGTTTTCATGGG\n+\n" + "I" * 16 + "\n")
+    assert [tuple(r) for r in one.load(str(tmp_path / "in")).collect()] == [("AACATGTTTTCATGGG", 0)]
+    with pytest.raises(Exception, match="no columns"):
+        spark.read.format("fastq").schema("bases string").load(str(tmp_path / "in")).collect()
+    (tmp_path / "empty").mkdir()
+    assert read_fastq(spark, str(tmp_path / "empty")).count() == 0
+    for k in (1, 2):  # the second run goes on behind the first one's files
+        query = stream_pairs(stream_fastq(spark, str(tmp_path / "in")), DigestConfig(min_mono_len=3), str(tmp_path / "pairs"), str(tmp_path / "state"))
+        query.processAllAvailable()
+        query.stop()
+        assert spark.read.parquet(str(tmp_path / "pairs")).count() == k
+        (tmp_path / "in" / "b.fastq").write_text("@b\nTTCATGTTTTTT\n+\n" + "I" * 12 + "\n")
 
 
 def test_fasta_and_paf(spark, tmp_path):
@@ -221,6 +309,32 @@ def test_alignments_without_cigar(spark):
     assert sorted((r["q1"], r["q2"], r["t1"], r["t2"]) for r in split_alignments(df, 50).collect()) == [(0, 10, 70, 80), (10, 20, 0, 10), (10, 30, 5, 26), (110, 130, 5, 26)]
 
 
+def test_many_operations_and_many_blocks_take_linear_time(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        ops = [(rng.choice([1, 3, 49, 50, 51, 700]), rng.choice("MIDNSHP=X")) for _ in range(rng.randint(0, 12))]
+        n = sum(k for k, o in ops if o in "M=XI")
+        rows.append((i, 5, 100, 100 + n, rng.choice("+-"), "h", 1000, "".join(f"{k}{o}" for k, o in ops) or "7H"))
+    rows.append((300, 0, 0, 200_000, "+", "h", 0, "1M60D" * 200_000))
+    began = time.time()
+    got = sorted((r["read_idx"], r["q1"], r["q2"], r["t1"], r["t2"]) for r in split_alignments(spark.createDataFrame(rows, ALIGN), 50).collect())
+    want = []
+    for i, off, a, b, strand, _, t, cigar in rows:
+        q0 = t0 = q = p = 0
+        for k, o in [(int(k), o) for k, o in re.findall(r"(\d+)([A-Z=])", cigar)] + [(50, "D")]:
+            if o in "IDN" and k >= 50:
+                if q > q0:
+                    want.append((i, off + a + q0, off + a + q, t + t0, t + p) if strand == "+" else (i, off + b - q, off + b - q0, t + t0, t + p))
+            q, p = q + k * (o in "M=XI"), p + k * (o in "M=XDN")
+            if o in "IDN" and k >= 50:
+                q0, t0 = q, p
+    assert got == sorted(want)
+    many = [(1, "+", "a", 100 * i, 100 * i + 90, 100 * i, 100 * i + 90) for i in range(100_000)]
+    merged = merge_blocks(spark.createDataFrame(many, BLOCK)).collect()
+    assert [tuple(r) for r in merged] == [(1, 0, 9_999_990, "a")] and time.time() - began < 60
+
+
 def test_digest_plans_work_each_expression_out_once(spark):
     d = Digest(reads(spark, "AACATGTTTTCATGGG"), DigestConfig(min_mono_len=3))
     for df in (d.monomers, d.pairs):
@@ -295,6 +409,84 @@ def test_command_line(spark, tmp_path, monkeypatch):
     assert sorted(r["read_id"] for r in read_fastq(spark, str(out / "pairs" / "side=2")).collect()) == ["a:1-2/2"]
 
 
+def test_windows_command_and_stages(spark, tmp_path, monkeypatch):
+    seq = "A" * 30 + "CATG" + "T" * 40 + "CATG" + "G" * 30
+    (tmp_path / "r.fastq").write_text(f"@a x\n{seq}\n+\n{'I' * len(seq)}\n@b\nTTT\n+\nIII\n")
+    for name, value in (("WINDOW", "100"), ("WINDOW_OVERLAP", "40"), ("GZ_LEVEL", "1"), ("KEEP_CHUNKS", "1")):
+        monkeypatch.setenv(name, value)
+    out = tmp_path / "out"
+    cli.main(["windows", str(tmp_path / "r.fastq"), str(out)])
+    queries = {r["read_id"]: r["seq"] for r in read_fasta(spark, str(out / "windows")).collect()}
+    assert queries == {"a_W0": seq[:100], "a_W8": seq[8:], "b_W0": "TTT"}
+    kept = Manifest(spark, str(out / "stages" / "windows"))
+    assert (kept.count("genome"), kept.count("windows"), Manifest(spark, str(out / "stages")).count("reads")) == (2, 3, 2)
+    # an aligner's answer names windows; the run goes on from the reads that were staged
+    (tmp_path / "r.paf").write_text("".join(f"a_W8\t100\t2\t52\t+\th{k}\t900\t10\t60\t50\t50\t60\tcg:Z:50M\n" for k in range(3)))
+    stage = [f.stat().st_mtime_ns for f in (out / "stages" / "reads").glob("*.parquet")]
+    cli.main(["guided", str(tmp_path / "r.fastq"), str(tmp_path / "r.paf"), str(out)])
+    assert stage == [f.stat().st_mtime_ns for f in (out / "stages" / "reads").glob("*.parquet")]
+    assert Manifest(spark, str(out / "stages")).count("blocks") == 3
+    assert spark.read.text(str(out / "stats")).first()[0] == "2 3 1 2 1 1 1 1"
+    one, two = chunk_lists(spark, str(out / "chunks"))
+    assert one.endswith("chunk-00000_R1.fastq.gz") and [r["read_id"] for r in read_fastq(spark, two).collect()] == ["a:1-2/2"]
+    # ids that are there twice or not at all are errors
+    (tmp_path / "r.paf").write_text("zz\t100\t2\t52\t+\th\t900\t10\t60\t50\t50\t60\n")
+    with pytest.raises(RuntimeError, match="alignments_of_unknown_reads"):
+        cli.main(["guided", str(tmp_path / "r.fastq"), str(tmp_path / "r.paf"), str(tmp_path / "two")])
+    (tmp_path / "r.fastq").write_text("@a\nACGT\n+\nIIII\n" * 2)
+    (tmp_path / "r.paf").write_text("a\t4\t0\t4\t+\th\t900\t10\t14\t4\t4\t60\n")
+    with pytest.raises(RuntimeError, match="repeated_read_ids"):
+        cli.main(["guided", str(tmp_path / "r.fastq"), str(tmp_path / "r.paf"), str(tmp_path / "three")])
+
+
+def test_chunks(spark, tmp_path):
+    d = Digest(reads(spark, *["AACATGTTTTCATGGG" * 3] * 20).repartition(3), DigestConfig(min_mono_len=3))
+    path = str(tmp_path / "c")
+    for level in (9, 1):  # the second run takes the first one's place
+        write_chunks(d.pairs, path, level)
+    listed = read_chunk_list(spark, path).collect()
+    assert sum(r["pairs"] for r in listed) == d.pairs.count() and len(listed) == 3
+    assert sorted(f.name for f in (tmp_path / "c").iterdir()) == sorted([r[k] for r in listed for k in ("r1", "r2")] + ["chunks.json"])
+    for r in listed:
+        one, two = (gzip.open(tmp_path / "c" / r[k], "rt").read().split("\n")[0:-1:4] for k in ("r1", "r2"))
+        assert len(one) == r["pairs"] and [x[:-1] for x in one] == [x[:-1] for x in two]
+    broken = d.pairs.withColumn("r2_seq", F.when((F.col("read_idx") == 7) & (F.col("j") == 3), F.raise_error(F.lit("no sequence")).cast("string")).otherwise(F.col("r2_seq")))
+    with pytest.raises(Exception, match="no sequence"):
+        write_chunks(broken, str(tmp_path / "bad"))
+    assert not list((tmp_path / "bad").glob("**/*.gz")) and not (tmp_path / "bad" / "chunks.json").exists()
+    write_chunks(d.pairs.limit(0), str(tmp_path / "none"))
+    assert read_chunk_list(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(Exception, match="level"):
+        write_chunks(d.pairs, path, 0)
+
+
+def test_counters_come_with_the_pairs(spark, tmp_path):
+    d = Digest(reads(spark, "AACATGTTTTCATGGG", "TTT"), DigestConfig(min_mono_len=3, dup_motif=True))
+    pairs, seen = d.observed_pairs()
+    spark.sparkContext.setJobGroup("observed", "one pass")
+    sinks.write_pairs(pairs, str(tmp_path / "pairs"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("observed")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) == 1 and metrics(observed_metrics(spark, seen, DIGEST)) == metrics(d.stats)
+    pairs, seen = Digest(reads(spark), DigestConfig()).observed_pairs()
+    sinks.write_pairs(pairs, str(tmp_path / "none"))
+    assert set(metrics(observed_metrics(spark, seen, DIGEST)).values()) == {0}
+
+
+def test_buckets_join_without_moving_reads(spark):
+    seqs = ["AACATG", "CATGAA", "AACATGTTTTCATGGG", "TTT"]
+    config = GuidedConfig(dup_motif=False, min_mono_len=1)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        g = bucketed_guided(reads(spark, *seqs), spark.createDataFrame([], ALIGN), config, n=3)
+        assert spans(g.monomers) == spans(Guided(reads(spark, *seqs), spark.createDataFrame([], ALIGN), config).monomers)
+        plan = g.pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_clock():
     assert [clock(x) for x in (0, 59.6, 3661, 360000)] == ["0:00:00", "0:01:00", "1:01:01", "100:00:00"]
 
