@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandloom.config import DigestConfig, GuidedConfig
 from strandloom.functions.motif import motif_regex, reverse_complement_of
-from strandloom.operators import chains, cigar, merge, protect, seeds, sites, stats, windows
+from strandloom.operators import align, chains, cigar, merge, protect, seeds, sites, stats, windows
 from strandloom.plans.digest import Digest
 from strandloom.plans.guided import Guided, bucketed_guided
 from strandloom.plans.manifest import Manifest
@@ -18,7 +18,7 @@ from strandloom.sources.derived import BASES, LETTERS, derived_alignments, deriv
 from strandloom.sources.fastq import read_fasta, read_fastq
 from strandloom.sources.fastq_chunks import read_chunk_list, write_chunks
 from strandloom.sources.fastq_source import register
-from strandloom.sources.paf import on_reads, read_paf
+from strandloom.sources.paf import on_reads, read_paf, write_paf
 from strandloom.sources.sinks import monomer_records, pair_records, window_records, write_monomers, write_pairs, write_sites, write_stats, write_windows
 from strandloom.streaming.digest_stream import streamed_fastq_stats, streamed_stats
 
@@ -200,6 +200,26 @@ def _chains(spark: SparkSession, d: str) -> DataFrame:
     return chains.chains(_hits(spark, d), seeds.K)
 
 
+def aligned_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of the reads, by the number of the read and the window's place, aligned to the other reads."""
+    reads = derived_reads(spark, d)
+    own = windows.split_windows(reads).select((F.shiftleft("read_idx", 20) + F.col("win_off")).alias("read_idx"), F.col("win_seq").alias("seq"))
+    path = scratch(spark, "minimizers")
+    seeds.minimizers(reads).write.parquet(path)
+    targets = spark.read.schema(seeds.SCHEMA).parquet(path)
+    hits = seeds.seed_hits(seeds.minimizers(own), targets, seeds.mid_occ(targets), to_itself=True).where(F.shiftright("read_idx", 20) != F.col("target_idx"))
+    return align.align_chains(chains.chains(hits, seeds.K), own, reads)
+
+
+def _aligned_paf(spark: SparkSession, d: str) -> DataFrame:
+    """Alignments of windows written as PAF records, read back and split into blocks of the reads."""
+    a = aligned_windows(spark, d)
+    path = scratch(spark, "aligned")
+    name = F.concat(F.lit("read"), F.shiftright("read_idx", 20), F.lit("_W"), F.col("read_idx") % (1 << 20))
+    write_paf(a.withColumns({"read_id": name, "target_id": F.concat(F.lit("read"), "target_idx")}), path)
+    return cigar.split_alignments(on_reads(read_paf(spark, path), derived_reads(spark, d)), 50)
+
+
 def _records(df: DataFrame) -> DataFrame:
     return df.select("read_idx", F.md5("record").alias("record"))
 
@@ -258,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "minimizers": _minimizers,
     "seed_hits": _hits,
     "chains": _chains,
+    "aligned_paf": _aligned_paf,
     "guided_problems": lambda s, d: _guided(s, d).problems(),
 }
 
