@@ -22,7 +22,7 @@ SAMPLE = 20_000
 FOLDS = 5
 
 # Words in a host that mark it as unwanted, the seed labels of the production query.
-SEED_WORDS = ("adult", "bets", "casino", "pills", "porn", "spam", "viagra", "warez", "xxx")
+SEED_WORDS = ("ads", "adserver", "adult", "bets", "casino", "pills", "popunder", "porn", "spam", "tracker", "viagra", "warez", "xxx")
 
 
 @dataclass(frozen=True)
@@ -145,17 +145,19 @@ def suffix_statistics(rows: DataFrame, label: str = "label", fold: Column | None
 def with_suffixes(rows: DataFrame, suffixes: DataFrame, base_rate: float) -> DataFrame:
     """Add the share of blocked URLs, smoothed towards the base rate, and the log count of each suffix.
 
-    Statistics with a ``fold`` are joined on that of the rows, too.
+    Statistics with a ``fold`` are joined on that of the rows, too. If they are too large to broadcast, they are brought together for
+    each distinct three-label suffix first, and the rows take one join on that: no row is dealt by a suffix such as ``com``.
     """
     small = c.size_of(suffixes) <= c.BROADCAST_BYTES
     by = [x for x in suffixes.columns if x == "fold"]
+    keys = rows if small else rows.select("suffix1", "suffix2", "suffix3", *by).distinct()
     for k in (1, 2, 3):
         s = suffixes.select(F.col("suffix").alias(f"suffix{k}"), F.col("n").alias("_n"), F.col("blocked").alias("_b"), *by)
-        rows = rows.join(F.broadcast(s) if small else s, [f"suffix{k}", *by], "left")
+        keys = keys.join(F.broadcast(s) if small else s, [f"suffix{k}", *by], "left")
         n, b = F.coalesce("_n", F.lit(0)), F.coalesce("_b", F.lit(0))
         rate = (b + F.lit(base_rate * 5)) / (n + F.lit(5.0))
-        rows = rows.withColumns({f"suffix{k}_rate": rate.cast("double"), f"suffix{k}_log_count": F.log1p(n.cast("double"))}).drop("_n", "_b")
-    return rows
+        keys = keys.withColumns({f"suffix{k}_rate": rate.cast("double"), f"suffix{k}_log_count": F.log1p(n.cast("double"))}).drop("_n", "_b")
+    return keys if small else rows.join(keys.drop("suffix1", "suffix2"), ["suffix3", *by], "left")
 
 
 def _fold(column: str) -> Column:
