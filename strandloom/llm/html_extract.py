@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Elements by their role in a page, as in the HTML standard.
-DROPPED = set("nav header footer aside script style noscript template button select svg iframe object canvas dialog head title menu".split())
+DROPPED = set("nav header footer aside script style noscript template button select svg iframe object canvas dialog head title menu textarea fieldset legend label datalist optgroup option".split())
 ARTICLE = {"article", "main"}
 #: Dropped as by a class name.
 MARKED = {"form"}

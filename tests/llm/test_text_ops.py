@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from strandloom.llm import _common as c
 from strandloom.llm import byte_bpe, entries, html_extract, language_id, quality_rules, url_filter
 
 SF = "/root/testdata/sf0.001"
@@ -97,6 +98,22 @@ def test_url_trees_judge_unseen_hosts(spark):
     assert importance[: len(url_filter.LEXICAL)].sum() > 0.1
 
 
+def test_url_suffixes_too_large_to_broadcast(spark, monkeypatch):
+    rows = url_filter.features(spark.createDataFrame([(f"http://{h}/{i}",) for i in range(3) for h in ("a.b.com", "b.com", "com", "x.a.b.com", "", "n.ew")] + [(None,)], "url string"))
+    labelled = url_filter.features(spark.createDataFrame([(f"http://{h}/{i}", i % 2) for i in range(5) for h in ("a.b.com", "b.com", "c.org")], "url string, label int"))
+    made = [url_filter.with_suffixes(rows, url_filter.suffix_statistics(labelled), 0.4)]
+    monkeypatch.setattr(c, "BROADCAST_BYTES", 0)
+    made.append(url_filter.with_suffixes(rows, url_filter.suffix_statistics(labelled), 0.4))
+    columns = ["url", *url_filter.SUFFIX]
+    one, two = (sorted(map(str, df.select(*columns).collect())) for df in made)
+    assert one == two and len(one) == 19
+
+
+def test_form_controls_are_no_text():
+    page = "<article><p>Body</p><textarea>form text</textarea><label>Name</label><fieldset><legend>Box</legend><p>inside</p></fieldset><p>More <label for=a>x</label>of it</p></article>"
+    assert html_extract.extract(page) == "Body More of it"
+
+
 def test_url_statistics_of_other_folds(spark):
     rows = [(f"http://{h}.{t}/{i}", int((i * 7 + ord(h)) % 3 == 0)) for i in range(40) for h in "abc" for t in ("com", "example.org")]
     df = url_filter.features(spark.createDataFrame(rows, "url string, label int"))
@@ -113,7 +130,7 @@ def test_url_query(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect():
         host, path, rule, verdict = expect(r["url"])
         assert (got[r["page_id"]]["host"], got[r["page_id"]]["path"], got[r["page_id"]]["rule"]) == (host, path, rule)
-        assert got[r["page_id"]]["verdict"] == (verdict or ("block" if any(w in host for w in ("spam-", "adult-", "casino-", "-pills", "-bets")) else "allow"))
+        assert got[r["page_id"]]["verdict"] == (verdict or ("block" if any(w in host for w in ("ads-", "spam-", "adult-", "casino-", "-pills", "-bets")) else "allow"))
 
 
 # --- byte BPE ---
