@@ -18,15 +18,19 @@ def at_least(ranges: Column, length: int) -> Column:
     return F.filter(ranges, lambda m: m["end"] - m["beg"] >= length)
 
 
-def cut_out(text: Column, beg: Column, end: Column) -> Column:
-    return F.substring(text, (beg + 1).cast("int"), (end - beg).cast("int"))
+def cut_out(texts: dict[str, Column], ranges: Column, *fields: str) -> Column:
+    """An array with a struct for each range: its ``fields``, and what of each ASCII text it holds, under the text's name.
 
+    Texts are bytes here, as a place in bytes needs no count from the start: then the time follows what is cut out, and not a long text times
+    its ranges. They are made bytes once for a row.
+    """
+    whole = F.array(F.struct(*[t.cast("binary").alias(name) for name, t in texts.items()]))
 
-def rank_pairs(n: Column, mode: str = "all") -> Column:
-    """Pairs (i, j) of the ranks 1 to n: i < j (``all``) or j = i + 1 (``seq``); none below two."""
-    last = lambda i: n if mode == "all" else i + 1
-    made = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(F.sequence(i + 1, last(i)), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    return F.when(n >= 2, made)
+    def one(all_of: Column, m: Column) -> Column:
+        part = lambda name: F.substring(all_of[name], (m["beg"] + 1).cast("int"), (m["end"] - m["beg"]).cast("int")).cast("string")
+        return F.struct(*[m[f].alias(f) for f in fields], *[part(name).alias(name) for name in texts])
+
+    return F.transform(whole, lambda x: F.transform(ranges, lambda m: one(x, m)))[0]
 
 
 def ratio(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -38,9 +38,7 @@ def guided_cuts(reads: DataFrame, sites_final: DataFrame, dup: bool, min_len: in
 
 def monomers(cuts: DataFrame) -> DataFrame:
     """(read_idx, read_id, rank, beg, end, seq, qual): a row for each kept monomer, ranked among those of its read."""
+    own = cut_out({"seq": F.col("seq"), "qual": F.col("qual")}, F.col("kept"), "beg", "end")
     # an outer explode and a filter behind it: Spark would put one on ``kept`` below, and work all of it out again there
-    m = cuts.select("read_idx", "read_id", "seq", "qual", F.posexplode_outer("kept").alias("pos", "m")).where("m is not null")
-    beg, end = F.col("m.beg"), F.col("m.end")
-    return m.select(
-        "read_idx", "read_id", (F.col("pos") + 1).cast("bigint").alias("rank"), beg.alias("beg"), end.alias("end"), cut_out(F.col("seq"), beg, end).alias("seq"), cut_out(F.col("qual"), beg, end).alias("qual")
-    )
+    m = cuts.select("read_idx", "read_id", F.posexplode_outer(own).alias("pos", "m")).where("m is not null")
+    return m.select("read_idx", "read_id", (F.col("pos") + 1).cast("bigint").alias("rank"), "m.beg", "m.end", "m.seq", "m.qual")

@@ -460,6 +460,19 @@ def test_chunks(spark, tmp_path):
         write_chunks(d.pairs, path, 0)
 
 
+def test_long_reads_take_time_in_proportion(spark):
+    seq = ("CATG" + "ACGTTGCAAC" * 50) * 2000
+    df = spark.createDataFrame([(1, "r", seq, "I" * len(seq), len(seq))], "read_idx bigint, read_id string, seq string, qual string, len bigint")
+    d = Digest(df, DigestConfig(pair_mode="seq"))
+    began = time.time()
+    pairs = d.pairs.select("i", "j", F.length("r1_seq").alias("a"), F.col("r2_qual")).orderBy("i").collect()
+    assert len(pairs) == 1999 and pairs[0][:3] == (1, 2, 504) and pairs[-1][:2] == (1999, 2000) and all(r["r2_qual"] == "I" * len(r["r2_qual"]) for r in pairs)
+    assert d.monomers.count() == 2000 and time.time() - began < 30
+    few = df.withColumns({c: F.substring(c, 1, 504 * 60) for c in ("seq", "qual")}).withColumn("len", F.length("seq").cast("bigint"))
+    every = Digest(few, DigestConfig()).pairs.select("i", "j").collect()
+    assert sorted(map(tuple, every)) == [(i, j) for i in range(1, 61) for j in range(i + 1, 61)]
+
+
 def test_counters_come_with_the_pairs(spark, tmp_path):
     d = Digest(reads(spark, "AACATGTTTTCATGGG", "TTT"), DigestConfig(min_mono_len=3, dup_motif=True))
     pairs, seen = d.observed_pairs()
