@@ -29,14 +29,18 @@ class Manifest:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.rerun = spark, path.rstrip("/"), False
 
-    def _line(self, name: str) -> dict | None:
+    def _first(self, path: str) -> str | None:
         try:
-            row = self.spark.read.text(f"{self.path}/manifest/{name}").first()
+            row = self.spark.read.text(path).first()
         except Exception as e:  # Spark's own class for a path that isn't there
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return None
-        return json.loads(row[0]) if row else None
+        return row[0] if row else None
+
+    def _line(self, name: str) -> dict | None:
+        row = self._first(f"{self.path}/manifest/{name}")
+        return json.loads(row) if row else None
 
     def stage(self, name: str, make: Callable[[], DataFrame], **parameters) -> DataFrame:
         kept = None if self.rerun else self._line(name)
@@ -49,6 +53,28 @@ class Manifest:
             log.info("%s: %s rows in %s", name, line["rows"], clock(line["seconds"]))
         return self.spark.read.parquet(where)
 
+    def put(self, key: str, value: object) -> None:
+        """Keep a JSON value under a key, in place of the one that is there."""
+        line = F.lit(json.dumps(value)).alias("value")
+        self.spark.range(1).select(line).coalesce(1).write.mode("overwrite").text(f"{self.path}/values/{key}")
+
+    def get(self, key: str, default: object = None) -> object:
+        """The value of a key, or ``default``."""
+        row = self._first(f"{self.path}/values/{key}")
+        return default if row is None else json.loads(row)
+
+    def forget(self, key: str) -> None:
+        """No value under this key from now on."""
+        self.spark.range(0).select(F.lit("").alias("value")).coalesce(1).write.mode("overwrite").text(f"{self.path}/values/{key}")
+
+    def counted(self, key: str, make: Callable[[], DataFrame]) -> int:
+        """Rows of ``make()``, counted once and kept; counted again where a stage of this session has run."""
+        kept = None if self.rerun else self.get(key)
+        if kept is None:
+            kept = make().count()
+            self.put(key, kept)
+        return kept
+
     def count(self, name: str) -> int | None:
         """Rows of a whole stage, from its line."""
         line = self._line(name)

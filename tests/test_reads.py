@@ -380,6 +380,19 @@ def test_manifest(spark, tmp_path):
     assert runs == ["one", "two"] * 2
 
 
+def test_manifest_values(spark, tmp_path):
+    m = Manifest(spark, str(tmp_path / "m"))
+    assert m.get("mid_occ") is None and m.get("mid_occ", 10) == 10
+    m.put("mid_occ", 12)
+    m.put("mid_occ", {"at": [13]})
+    assert Manifest(spark, str(tmp_path / "m")).get("mid_occ") == {"at": [13]}
+    m.forget("mid_occ")
+    assert m.get("mid_occ", "none") == "none"
+    assert m.counted("reads", lambda: spark.range(7)) == 7 and m.counted("reads", lambda: spark.range(8)) == 7
+    m.stage("new", lambda: spark.range(1))  # what was counted before may be of an older run
+    assert m.counted("reads", lambda: spark.range(8)) == 8
+
+
 @pytest.mark.parametrize("n", [1, 255, 256, 257, 700])
 def test_many_sites(spark, n):
     got = reads(spark, "TT" + "CATGA" * n).select(motif_starts(F.col("seq"), "CATG").alias("x")).first()["x"]
