@@ -307,3 +307,37 @@ def test_pipeline_drops_repeated_rows(spark):
     got = corpus_pipeline.drop_near_duplicates(spark, df, SF)
     assert got.columns == df.columns
     assert sorted(((r["doc_id"] or 0, r["text"]) for r in got.collect())) == [(0, "x"), (0, "y"), (1, text), (3, "other " + text[::-1])]
+
+
+def test_surrogates_on_the_table_are_distinct_and_the_same_everywhere(spark):
+    """Entities found by another engine of patterns in the texts before and after: the same kinds in the same order, one surrogate for each, and none for two."""
+    import regex
+
+    patterns = {k: regex.compile(p.replace(r"\x{A0}", "\xa0")) for k, p in pii.KINDS.items()}
+    every = regex.compile("|".join(f"(?:{p.pattern})" for p in patterns.values()))
+    before = dict(duckdb.sql(f"select doc_id, coalesce(text, '') from '/root/testdata/sf0.01/documents.parquet'").fetchall())
+    after = {r["doc_id"]: r["text"] or "" for r in entries.QUERIES["op8_pii_surrogates"](spark, "/root/testdata/sf0.01").select("doc_id", "text").collect()}
+    assert before.keys() == after.keys()
+
+    def found(text):
+        out = []
+        for m in every.finditer(text):
+            kind = next(k for k, p in patterns.items() if p.fullmatch(m[0]))
+            key = m[0]
+            if kind == "name":
+                key = regex.findall(pii.WORD, m[0])[-1].lower()
+            elif kind in ("card", "phone", "ssn"):
+                key = regex.sub("[^0-9]", "", key)
+            elif kind != "token":
+                key = key.lower().replace(" ", "")
+            out.append((kind, key))
+        return out
+
+    given, taken, n = {}, {}, 0
+    for i, text in before.items():
+        old, new = found(text), found(after[i])
+        assert [k for k, _ in old] == [k for k, _ in new]
+        for a, b in zip(old, new):
+            n += 1
+            assert given.setdefault(a, b) == b and taken.setdefault(b, a) == a and b not in given
+    assert n > 100 and len({k for k, _ in given}) >= 3 and not set(taken) & set(given)
