@@ -33,15 +33,15 @@ def protect(sites: DataFrame, blocks: DataFrame, flank: int = 15, min_cov: int =
     return _classed(s.join(b, holds, "left").groupBy(*SITE).agg(F.count_distinct("target_id").alias("span")), min_cov)
 
 
-def span_events(sites: DataFrame, blocks: DataFrame, flank: int) -> DataFrame:
+def span_events(lengths: DataFrame, blocks: DataFrame, flank: int) -> DataFrame:
     """(read_idx, at, delta): by how much the number of targets that span a site changes from x = ``at`` on.
 
     A block spans the sites of one range of x: from q_start + flank (0 where the block begins the read) to q_end - flank (the
     read's end where it ends it). Of a target's ranges, in order, only what those before don't cover counts, so
     the parts of a target never overlap and a running sum counts targets, not blocks. Changes at one place are summed before they
-    are dealt out by read: a read has no more of them than bases, however many blocks it has.
+    are dealt out by read: a read has no more of them than bases, however many blocks it has. ``lengths``: (read_idx, len).
     """
-    reads = sites.groupBy("read_idx").agg(F.max("len").alias("len"))
+    reads = lengths.groupBy("read_idx").agg(F.max("len").alias("len"))
     placed = blocks.select("read_idx", "target_id", "q_start", "q_end").join(reads, "read_idx")
     first = F.when(F.col("q_start") <= 0, F.lit(0).cast("bigint")).otherwise(F.col("q_start") + flank)
     last = F.when(F.col("q_end") >= F.col("len"), F.col("len")).otherwise(F.col("q_end") - flank)
@@ -54,14 +54,15 @@ def span_events(sites: DataFrame, blocks: DataFrame, flank: int) -> DataFrame:
     return own.select("read_idx", F.explode(change).alias("c")).groupBy("read_idx", "c.at").agg(F.sum("c.delta").alias("delta")).where("delta <> 0")
 
 
-def protect_sweep(sites: DataFrame, blocks: DataFrame, flank: int = 15, min_cov: int = 3) -> DataFrame:
+def protect_sweep(sites: DataFrame, blocks: DataFrame, flank: int = 15, min_cov: int = 3, lengths: DataFrame | None = None) -> DataFrame:
     """The same as ``protect`` in time linear in sites and blocks: a sweep over each read's changes and sites.
 
     Sites and changes of a read are put in one order, and a site's span is the sum of the changes up to it. No row
-    comes from a site and a block together. Repeated sites stay as they are.
+    comes from a site and a block together. Repeated sites stay as they are. Lengths of reads are taken from the sites, unless
+    there is a table (read_idx, len) of them, which spares a second pass over what makes the sites.
     """
     none = [F.lit(None).cast("bigint").alias(c) for c in SITE[1:4]]
-    changes = span_events(sites, blocks, flank).select("read_idx", F.col("at").alias("x"), "delta", *none, F.lit(False).alias("site"))
+    changes = span_events(sites if lengths is None else lengths, blocks, flank).select("read_idx", F.col("at").alias("x"), "delta", *none, F.lit(False).alias("site"))
     points = sites.select("read_idx", "x", F.lit(0).cast("bigint").alias("delta"), *SITE[1:4], F.lit(True).alias("site"))
     up_to = Window.partitionBy("read_idx").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     swept = points.unionByName(changes).withColumn("span", F.sum("delta").over(up_to))

@@ -31,7 +31,7 @@ class Guided:
     def use_blocks(self, blocks: DataFrame) -> None:
         """Go on from these merged blocks, for instance from a kept stage's."""
         c, self.blocks = self.config, blocks
-        spans = protect_sweep(self.sites, blocks, c.flank, c.min_cov) if self.sweep else protect(self.sites, blocks, c.flank, c.min_cov, self.bin_size)
+        spans = protect_sweep(self.sites, blocks, c.flank, c.min_cov, self.reads.select("read_idx", "len")) if self.sweep else protect(self.sites, blocks, c.flank, c.min_cov, self.bin_size)
         self.use_sites(spans)
 
     def use_sites(self, sites_final: DataFrame) -> None:
