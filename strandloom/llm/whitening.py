@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -95,19 +96,18 @@ def _matrix(rows: DataFrame, n: int, dimension: int) -> BlockMatrix:
     return IndexedRowMatrix(vectors, n, dimension).toBlockMatrix(SIDE, SIDE)
 
 
-def _project(rows: DataFrame, n: int, matrix: np.ndarray) -> DataFrame:
+def _project(spark: SparkSession, rows: BlockMatrix, matrix: np.ndarray) -> DataFrame:
     """(index, whitened): rows of a block matrix times ``matrix``."""
-    spark, (dimension, k) = rows.sparkSession, matrix.shape
+    dimension, k = matrix.shape
     blocks = [((i, 0), Matrices.dense(len(part), k, part.ravel(order="F").tolist())) for i, part in enumerate(np.split(matrix, range(SIDE, dimension, SIDE)))]
     weights = BlockMatrix(spark.sparkContext.parallelize(blocks, 1), SIDE, SIDE, dimension, k)
-    product = _matrix(rows, n, dimension).multiply(weights).toIndexedRowMatrix()
+    product = rows.multiply(weights).toIndexedRowMatrix()
     made = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
     return made.select("index", vector_to_array("vector").alias("whitened"))
 
 
-def _scatter(rows: DataFrame, n: int, dimension: int) -> np.ndarray:
+def _scatter(blocks: BlockMatrix, n: int) -> np.ndarray:
     """The sum of outer products of the rows: one small matrix, whose parts are summed over splits of the rows."""
-    blocks = _matrix(rows, n, dimension)
     wrapper = blocks.transpose()._java_matrix_wrapper
     splits = max(1, -(-n // SIDE))
     product = BlockMatrix(wrapper.call("multiply", blocks._java_matrix_wrapper._java_model, splits), SIDE, SIDE)
@@ -131,7 +131,9 @@ def whiten(vectors: DataFrame, components: int = 4, scale: int = 256) -> DataFra
     fit = _numbered(rows.select("x").distinct(), "distinct")
     n, sums, most = _sums(fit, dimension)
     fit = materialise(_centred(fit.select("index", "x"), n, sums, most).select("index", "centred"), "centred")
-    scatter = _scatter(fit, n, dimension)
+    # used three times: both factors of the scatter matrix, and the check of the result; blocks that are lost are made again
+    blocks = _matrix(fit, n, dimension).persist(StorageLevel.MEMORY_AND_DISK)
+    scatter = _scatter(blocks, n)
     covariance = (scatter + scatter.T) / (2 * n)
     values, directions = np.linalg.eigh(covariance)
     order = np.argsort(-values, kind="stable")[:components]
@@ -140,13 +142,14 @@ def whiten(vectors: DataFrame, components: int = 4, scale: int = 256) -> DataFra
         return _nothing(vectors)
     weights, explained = directions[:, order] / np.sqrt(values[order]), values[order] / np.trace(covariance)
 
-    flat = _project(fit, n, weights).select(*[F.col("whitened")[i].alias(f"w{i}") for i in range(len(order))])
+    flat = _project(vectors.sparkSession, blocks, weights).select(*[F.col("whitened")[i].alias(f"w{i}") for i in range(len(order))])
     pairs = [(i, j) for i in range(len(order)) for j in range(i + 1)]
     found = flat.agg(*[F.covar_pop(f"w{i}", f"w{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = max(abs(found[f"c{i}_{j}"] - (i == j)) for i, j in pairs)
 
     centred = materialise(_centred(rows.select("index", "vec_id", "x"), n, sums, most), "rows")
-    projected = centred.select("index", "vec_id", "deviation").join(_project(centred, rows.count(), weights), "index")
+    projected = centred.select("index", "vec_id", "deviation").join(_project(vectors.sparkSession, _matrix(centred, centred.count(), dimension), weights), "index")
     share = F.element_at(F.array(*[F.lit(float(e)) for e in explained]), F.col("component"))
     each = projected.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).withColumn("component", F.col("at") + 1)
     return each.select("vec_id", "component", F.lit(n).cast("bigint").alias("n"), "deviation", "whitened", share.alias("explained"), F.lit(float(error)).alias("identity_error"))
