@@ -10,6 +10,8 @@ among them are confirmed on the whole sets of shingles, in steps that emit no gr
 2. sets of buckets that are open after that meet where they share one of their rarest shingles. Sets that are
    similar enough do (prefix filtering), so this is exact however large a bucket is. Only pairs that would join two
    components come out, and only where lengths, places and bit maps of the two sets leave room for the similarity.
+   Shingles that no other set holds are known not to be shared, and what two sets share cancels out in their maps, so
+   members of a large family that aren't similar enough mostly make no row.
 
 All steps lose no link between candidates that would join two components.
 """
@@ -84,9 +86,13 @@ def group_hashes(found: np.ndarray) -> np.ndarray:
 
 
 def bit_map(found: np.ndarray) -> np.ndarray:
-    bits = np.zeros(MAP_LONGS * 64, dtype=np.uint8)
-    bits[(found >> np.uint64(17)) % np.uint64(MAP_LONGS * 64)] = 1
-    return np.packbits(bits).view(np.int64)
+    """Whether odd many of the shingles fall on each bit.
+
+    In the exclusive or of two maps, shingles of both sets cancel out: it is the map of those that one set alone has,
+    and can't have more bits than there are of these.
+    """
+    at = ((found >> np.uint64(17)) % np.uint64(MAP_LONGS * 64)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=MAP_LONGS * 64) & 1).astype(np.uint8)).view(np.int64)
 
 
 def sketches(df: DataFrame, words: int, key: str, text: str) -> DataFrame:
@@ -203,15 +209,17 @@ def _rare_links(active: DataFrame, info: DataFrame, sets: DataFrame, percent: in
     own = sets.join(active.select("node").distinct(), "node", "left_semi")
     each = c.materialise(own.select("node", "set_key", F.explode("own").alias("shingle")), "shingles")
     held = each.groupBy("shingle").agg(F.count("*").alias("held"))
-    order = Window.partitionBy("node", "set_key").orderBy("held", "shingle")
-    ranked = each.join(held, "shingle").withColumn("place", F.row_number().over(order)).where("held > 1")
+    whole = Window.partitionBy("node", "set_key")
+    # a row that is there twice has its set twice, so places are those of distinct shingles
+    place = F.dense_rank().over(whole.orderBy("held", "shingle"))
+    ranked = each.join(held, "shingle").withColumns({"place": place, "alone": F.count_if(F.col("held") == 1).over(whole)}).where("held > 1")
     rare = ranked.join(info, ["node", "set_key"]).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    rare = c.materialise(rare.select("shingle", "place", "node", "n", "bits", "component"), "rare")
+    rare = c.materialise(rare.select("shingle", "place", "alone", "node", "n", "bits", "component"), "rare")
     several = rare.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle")
     rare = c.materialise(rare.join(several, "shingle", "left_semi"), "rare")
     a, b = (_side(rare, x).withColumnRenamed(f"shingle_{x}", "shingle") for x in "ab")
-    # what both can share: all before the places at most, this one, and what is left of either
-    most = F.least("place_a", "place_b") + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    # what both can share: up to the places at most all that aren't held alone, and what is left of either
+    most = F.least(F.col("place_a") - F.col("alone_a"), F.col("place_b") - F.col("alone_b")) + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     fits = (F.col("component_a") < F.col("component_b")) & _can_link(percent) & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
     near = a.join(b, "shingle").where(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "component_a", "component_b").distinct()
     return c.materialise(_confirmed(c.materialise(near, "pairs"), sets, percent), "links")

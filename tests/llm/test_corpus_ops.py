@@ -106,6 +106,57 @@ def test_dedup_of_a_large_family(spark, monkeypatch, pivots):
     assert got == want and len({c for _, c in want.values()}) > 30
 
 
+def test_dedup_family_below_the_threshold(spark, monkeypatch):
+    """Sets that are almost similar enough to a large component meet it in few candidate pairs."""
+    made, keep = [], _common.materialise
+
+    def count(df, what):
+        out = keep(df, what)
+        if what == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(_common, "materialise", count)
+    rng = random.Random(5)
+    own, texts = [f"w{i}" for i in range(400)], {}
+    for i in range(240):
+        t = list(own)
+        # apart by two edits or less: one component; by 13: similarity 0.82 to it at most
+        for k in rng.sample(range(2, 398), rng.randint(0, 2) if i % 4 else 13):
+            t[k] = f"e{rng.randint(0, 3000)}"
+        texts[i + 1 if i % 4 else 1000 + i] = " ".join(t)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.link(df, words=3, percent=85).collect()}
+    assert got == components(texts, 3, 85) and len({c for _, c in got.values()}) > 50
+    assert sum(made) < len(texts)
+
+
+def test_dedup_bit_maps_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n, own in [(5, 1), (400, 60), (3000, 100)]:
+        both = rng.integers(0, 2**63, n, dtype=np.uint64)
+        a, b = (near_dedup.bit_map(np.concatenate([both, rng.integers(0, 2**63, own, dtype=np.uint64)])) for _ in "ab")
+        bits = np.bitwise_count((a ^ b).view(np.uint64)).sum()
+        assert 0.8 * 2 * own <= bits <= 2 * own
+
+
+def test_dedup_of_rows_that_are_there_twice(spark, monkeypatch):
+    """Equal rows don't take places of the rarest shingles from each other."""
+    monkeypatch.setattr(near_dedup, "PIVOTS", 0)
+    rng = random.Random(13)
+    texts = {}
+    for f in range(10):
+        own = [f"w{f}_{rng.randint(0, 900)}" for _ in range(110)]
+        for i in range(20):
+            t = list(own)
+            for k in rng.sample(range(110), rng.choice([1, 2, 3])):
+                t[k] = f"e{rng.randint(0, 3)}"
+            texts[100 * f + i] = " ".join(t)
+    df = spark.createDataFrame([x for x in texts.items() for _ in range(3)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.link(df, words=3, percent=85).collect()}
+    assert got == components(texts, 3, 85)
+
+
 def test_dedup_query(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in entries.op5_minhash_dedup(spark, SF).collect()}
