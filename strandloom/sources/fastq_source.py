@@ -3,7 +3,7 @@
 A plain file is read in byte ranges by many tasks, though nothing in FASTQ marks where a record begins: a line that starts with ``@`` may be
 a quality. Lines are the letters of an automaton: a header, sequence lines up to one that starts with ``+``, and quality lines until
 they are as long as the sequence. A task doesn't know the state in which its range begins, so it runs the automaton from every line near it that could be
-a header. Wrong runs break, as their lengths don't fit; if runs with different results are left, the task looks further
+a header before it. Wrong runs break, as their lengths don't fit; until all runs that are left have one result, and that of a wider window is the same, the task looks further
 back and ahead, at last from the file's start, where the state is known. That is a guess still, and it is proved: each
 task works out by the same rule where the next range's records begin, and holds the end of its own last record against it. The
 first task begins where the file does, so together they have followed one chain of records from the first byte to the last. What breaks
@@ -57,6 +57,7 @@ class Lines:
         if whole and len(raw) and raw[-1] != 10:
             breaks = np.append(breaks, len(raw))
         self.data, self.whole, self.n = data, whole, len(breaks)
+        self._not_plain: list[np.ndarray] | None = None
         self.starts = np.concatenate([[0], breaks[:-1] + 1]).astype(np.int64) if self.n else np.zeros(0, np.int64)
         self.ends = breaks.astype(np.int64)
         if self.n:
@@ -105,31 +106,51 @@ class Lines:
         out = self.data[self.starts[first] : self.ends[last - 1]]
         return (out if last == first + 1 else out.replace(b"\n", b"").replace(b"\r", b"")).decode()
 
-    def runs(self) -> list[int]:
-        """Headers from which the automaton passes ``SURE`` records, or all up to the file's end, and then reaches the buffer's end."""
-        records: dict[int, int] = {}
-        for header in reversed(self.headers.tolist()):
-            try:
-                step = self.next(header)
-            except BrokenRecord:
-                continue
-            if step is None:
-                records[header] = 0
-            elif step[1] >= self.n or step[1] in records:
-                records[header] = 1 + records.get(step[1], 0)
+    def runs(self, begin: int) -> set[int | None]:
+        """Where the first record at or behind ``begin`` starts, by each run from a header before: those in which the automaton passes ``SURE`` records, or all up to the file's end, and then reaches the buffer's end.
+
+        A run from a header behind ``begin`` would only name itself. None stands for a run that reaches the buffer's end before.
+        All headers take their step at once, and a run is known from that of its second record, so each header is worked out once.
+        """
+        headers = self.headers
+        at = np.searchsorted(self.pluses, headers + 1)
+        open_ = at == len(self.pluses)
+        plus = self.pluses[np.minimum(at, max(len(self.pluses) - 1, 0))] if len(self.pluses) else headers
+        size = self.sums[plus] - self.sums[np.minimum(headers + 1, self.n)]
+        behind = np.searchsorted(self.sums, self.sums[np.minimum(plus + 1, self.n)] + size, side="left")
+        open_ |= behind > self.n
+        behind = np.minimum(np.maximum(behind, plus + 1), self.n)
+        good = self.sums[behind] - self.sums[np.minimum(plus + 1, self.n)] == size
+        at = np.searchsorted(self.filled, behind)
+        following = np.append(self.filled, self.n)[np.minimum(at, len(self.filled))]
+        good &= np.append(self._is_header, True)[following]
+        # an open record is a run of none, unless the file ends
+        good = ~open_ & good | open_ & (not self.whole)
+        records: dict[int, tuple[int, int | None]] = {}  # and the run's first start at or behind
+        for header, start, incomplete, then in zip(*(x[good][::-1].tolist() for x in (headers, self.starts[headers], open_, following))):
+            own = start if start >= begin else None
+            if incomplete:
+                records[header] = 0, own
+            elif then >= self.n or then in records:
+                n, first = records.get(then, (0, len(self.data) if self.whole else None))
+                records[header] = n + 1, first if own is None else own
         least = 1 if self.whole else SURE
-        return sorted(h for h, n in records.items() if n >= least)
+        return {first for header, (n, first) in records.items() if n >= least and self.starts[header] < begin}
 
     def plain(self, header: int) -> int:
         """How many records of four lines follow each other from this header on."""
         n = (self.n - header) // 4
         if n <= 0:
             return 0
-        at = header + 4 * np.arange(n)
-        good = self._is_header[at] & self._is_plus[at + 2] & ~self._is_plus[at + 1] & (self.sizes[at + 1] == self.sizes[at + 3])
-        following = np.append(self._is_header, True)[at + 4]
-        bad = np.flatnonzero(~(good & following))
-        return int(bad[0]) if len(bad) else n
+        if self._not_plain is None:  # of each fourth of the lines, once
+            good = np.zeros(self.n, bool)
+            i = np.arange(self.n - 3)
+            good[:-3] = self._is_header[i] & self._is_plus[i + 2] & ~self._is_plus[i + 1] & (self.sizes[i + 1] == self.sizes[i + 3]) & np.append(self._is_header, True)[i + 4]
+            bad = np.flatnonzero(~good)
+            self._not_plain = [bad[bad % 4 == k] for k in range(4)]
+        bad = self._not_plain[header % 4]
+        at = np.searchsorted(bad, header)
+        return min(n, (int(bad[at]) - header) // 4) if at < len(bad) else n
 
     def every_fourth(self, first: int, n: int) -> pa.Array:
         """Lines first, first + 4, ... as strings."""
@@ -187,23 +208,26 @@ class _Reads:
         system, place = open_path(part.uri)
         if part.uri.endswith(".gz"):
             with system.open_input_stream(place, compression=None) as raw, gzip.GzipFile(fileobj=raw) as file:
-                yield from self._records(part, 0, lambda at: file.read(STEP), None)
+                yield from self._records(part, 0, lambda at, held: file.read(max(STEP, held)), None)
             return
         with system.open_input_file(place) as file:
             begin = _first_record(file, part.size, part.begin)
 
-            def step(at: int) -> bytes:
+            def step(at: int, held: int) -> bytes:
+                # to the range's end and a little more; twice as much each time where a record is longer
                 file.seek(at)
-                return file.read(min(STEP, part.size - at))
+                return file.read(min(max(STEP, held), max(part.end - at, 0) + max(LOOK, held), part.size - at))
 
             if begin < part.end:
                 yield from self._records(part, begin, step, lambda: _first_record(file, part.size, part.end))
+            elif begin != _first_record(file, part.size, part.end):  # no record begins here, so the next range must begin with the same
+                raise BrokenRecord(f"the record that ends at byte {begin} of {part.uri} isn't followed by one")
 
     def _records(self, part: Range, begin: int, step, expected) -> Iterator[pa.RecordBatch]:
         rest, at, own = b"", begin, 0
         out: list[tuple] = []
         while True:
-            more = step(at + len(rest))
+            more = step(at + len(rest), len(rest))
             lines = Lines(rest + more, not more)
             header, ended = (int(lines.filled[0]) if len(lines.filled) else lines.n), False
             while header < lines.n and not (ended := expected is not None and at + int(lines.starts[header]) >= part.end):
@@ -270,7 +294,7 @@ def _first_record(file, size: int, begin: int) -> int:
     """Where the first record at or behind ``begin`` starts; the file's size if there is none."""
     if begin >= size:
         return size
-    back, ahead = 0, LOOK
+    back, ahead, before = LOOK, LOOK, None
     while True:
         lo, hi = max(begin - back, 0), min(begin + ahead, size)
         file.seek(max(lo - 1, 0))
@@ -282,15 +306,19 @@ def _first_record(file, size: int, begin: int) -> int:
                 skip = len(data)
         lines = Lines(data[skip:], hi == size)
         base = max(lo - 1, 0) + skip
-        runs = lines.filled[:1].tolist() if lo == 0 else lines.runs()
-        found = {x for x in (_at_or_behind(lines, r, base, begin) for r in runs) if x is not None}
-        if len(found) == 1:
-            return found.pop()
+        if lo == 0:
+            found = {_at_or_behind(lines, r, base, begin) for r in lines.filled[:1].tolist()}
+        else:
+            found = {x if x is None else base + x for x in lines.runs(begin - base)}
+        own = found.pop() if len(found) == 1 else None
+        if own is not None and (lo == 0 or own == before):  # two windows, of which the wider sees past longer records, agree
+            return own
+        before = own
         if hi == size and lo == 0:
-            if not runs:
+            if not len(lines.filled):
                 return size
             raise BrokenRecord("the file isn't made of FASTQ records")
-        back, ahead = max(LOOK, back * 4), ahead * 4
+        back, ahead = back * 4, ahead * 4
 
 
 def _at_or_behind(lines: Lines, header: int | None, base: int, begin: int) -> int | None:

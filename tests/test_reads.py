@@ -7,7 +7,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strandloom import cli
 from strandloom.config import DigestConfig, GuidedConfig, from_environment
@@ -261,6 +261,46 @@ def test_fastq_of_many_lines(tmp_path, monkeypatch, seed):
     assert seen[0] == seen[1] == seen[2] == sorted(set(seen[0]))
 
 
+@pytest.mark.parametrize("width", [0, 60])
+def test_fastq_ranges_read_little_more_than_their_own(tmp_path, monkeypatch, width):
+    """A range isn't followed from the file's start, also where qualities look like headers and separators."""
+    monkeypatch.setattr(fastq_source, "LOOK", 4096)
+    rng = random.Random(5)
+    rows, text = [], []
+    for i in range(400):
+        seq = "".join(rng.choices("ACGT", k=rng.randint(0, 3000)))
+        qual = re.sub("(.{61}).{2}", r"\1@+", "I" * len(seq))
+        lines = [re.sub(f"(.{{{w}}})(?=.)", r"\1\n", x) if width else x for x, w in ((seq, width), (qual, width + 1))]
+        rows.append((f"r{i}", seq, qual))
+        text.append(f"@r{i}\n{lines[0]}\n+\n{lines[1]}\n")
+    (tmp_path / "x.fastq").write_text("".join(text))
+    size, read = (tmp_path / "x.fastq").stat().st_size, []
+
+    class Counted:
+        def __init__(self, file):
+            self.file, self.seek = file, file.seek
+
+        def read(self, n):
+            read.append(n)
+            return self.file.read(n)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+    class System:
+        def open_input_file(self, place):
+            return Counted(open(place, "rb"))
+
+    monkeypatch.setattr(fastq_source, "open_path", lambda uri: (System(), uri))
+    own = fastq_source._Reads(StructType([StructField(c, StringType()) for c in ("read_id", "seq", "qual")]))
+    cuts = [*range(0, size, 30_000), size]
+    got = [tuple(r.values()) for a, b in zip(cuts, cuts[1:]) for x in own.read(fastq_source.Range(str(tmp_path / "x.fastq"), 0, size, a, b)) for r in x.to_pylist()]
+    assert got == rows and sum(read) < 4 * size
+
+
 def test_fastq_broken_in_any_place_fails(tmp_path, monkeypatch):
     monkeypatch.setattr(fastq_source, "LOOK", 300)
     rng = random.Random(9)
